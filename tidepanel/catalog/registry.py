@@ -56,10 +56,12 @@ def statement(sql: str, uses: list[str]) -> str:
 
 
 def rolling(label: str, column: str, n: int, unit: str, fn: str = "avg", kind: str = "rmean") -> str:
-    return (
-        f"{fn}({column}) OVER (PARTITION BY entity ORDER BY pos"
-        f" ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS {label}_{kind}_{n}{unit}"
-    )
+    frame = f"OVER (PARTITION BY entity ORDER BY pos ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    value = f"{fn}({column}) {frame}"
+    if fn == "avg" and column == "acps":  # whole micro-units: exact in any order
+        units = "CAST(round(acps * 1000000) AS BIGINT)"
+        value = f"CAST(sum({units}) {frame} AS DOUBLE) / count(*) {frame} / 1000000::DOUBLE"
+    return f"{value} AS {label}_{kind}_{n}{unit}"
 
 
 def lagged(label: str, column: str, n: int, unit: str) -> str:
@@ -135,7 +137,7 @@ PARTS: dict[str, tuple[str, str]] = {
     "dratio": (
         "dp",
         """SELECT *, total_movements / greatest(1.0::DOUBLE, phase_median) AS pressure_ratio
-        FROM (SELECT *, isodow(dt) - 1 AS dow,
+        FROM (SELECT *, CAST(isodow(dt) - 1 AS INTEGER) AS dow,
                 CAST(median(total_movements) OVER (PARTITION BY entity, isodow(dt)) AS DOUBLE) AS phase_median
               FROM dp)""",
     ),
@@ -157,7 +159,7 @@ PARTS: dict[str, tuple[str, str]] = {
     "hratio": (
         "hp",
         """SELECT *, total_movements / greatest(1.0::DOUBLE, phase_median) AS pressure_ratio
-        FROM (SELECT *, hour(ts_hour) AS hour, isodow(ts_hour) - 1 AS dow,
+        FROM (SELECT *, CAST(hour(ts_hour) AS INTEGER) AS hour, CAST(isodow(ts_hour) - 1 AS INTEGER) AS dow,
                 CAST(median(total_movements) OVER (PARTITION BY entity, hour(ts_hour), isodow(ts_hour)) AS DOUBLE) AS phase_median
               FROM hp)""",
     ),
@@ -223,7 +225,7 @@ PARTS: dict[str, tuple[str, str]] = {
     ),
     "flags": (
         "dp hd",
-        """SELECT d.entity, d.dt, d.total_movements, isodow(d.dt) - 1 AS dow,
+        """SELECT d.entity, d.dt, d.total_movements, CAST(isodow(d.dt) - 1 AS INTEGER) AS dow,
             CAST(d.dt IN (SELECT date FROM hd) AS INTEGER) AS is_holiday,
             CAST(d.dt + 1 IN (SELECT date FROM hd) AS INTEGER) AS is_pre_holiday,
             CAST(d.dt - 1 IN (SELECT date FROM hd) AS INTEGER) AS is_post_holiday,

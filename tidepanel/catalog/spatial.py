@@ -1 +1,75 @@
+"""Position reports."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidepanel.catalog.registry import query
+from tidepanel.catalog.series import r9
+from tidepanel.functions import spatial
+from tidepanel.sources import bindings
+
+
+@query(
+    "bbox_filter",
+    """SELECT event_id, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude FROM sn
+       WHERE latitude >= 40.0 AND latitude <= 41.0 AND longitude >= -4.0 AND longitude <= -3.0""",
+    "sn",
+)
+def bbox_filter(spark, root):
+    """Reports inside a box of one degree around the centre."""
+    box = spatial.Settings(box_south=40.0, box_north=41.0, box_west=-4.0, box_east=-3.0)
+    sn = bindings.snapshots(spark, root)
+    return sn.filter(spatial.in_box(F.col("latitude"), F.col("longitude"), box)).select(
+        "event_id", *r9("latitude", "longitude")
+    )
+
+
+@query("haversine", "SELECT event_id, round(distance_nm, 6) AS distance_nm FROM snd", "snd")
+def haversine(spark, root):
+    return spatial.with_band(bindings.snapshots(spark, root)).select(
+        "event_id", F.round("distance_nm", 6).alias("distance_nm")
+    )
+
+
+@query("band_assign", "SELECT event_id, band FROM snb", "snb")
+def band_assign(spark, root):
+    return spatial.with_band(bindings.snapshots(spark, root)).select("event_id", "band")
+
+
+def _density_sql() -> str:
+    parts = []
+    for b in ("inner", "middle", "outer"):
+        parts.append(f"count(*) FILTER (band = '{b}') AS density_{b}")
+        parts.append(f"round(avg(altitude) FILTER (band = '{b}'), 9) AS mean_alt_{b}")
+        parts.append(f"round(avg(ground_speed) FILTER (band = '{b}'), 9) AS mean_speed_{b}")
+        parts.append(f"round(stddev_samp(altitude) FILTER (band = '{b}'), 6) AS alt_std_{b}")
+    return (
+        "SELECT snapshot_ts, " + ", ".join(parts)
+        + ", count(*) FILTER (band <> 'outside') AS total_density FROM snb GROUP BY 1"
+    )
+
+
+def rounded_density(df, *keep):
+    columns = []
+    for b in ("inner", "middle", "outer"):
+        columns += [f"density_{b}", *r9(f"mean_alt_{b}", f"mean_speed_{b}")]
+        columns.append(F.round(f"alt_std_{b}", 6).alias(f"alt_std_{b}"))
+    return df.select(*keep, *columns, "total_density")
+
+
+@query("snapshot_density", _density_sql(), "snb")
+def snapshot_density(spark, root):
+    return rounded_density(spatial.snapshot_density(bindings.snapshots(spark, root)), "snapshot_ts")
+
+
+@query(
+    "density_grid",
+    """SELECT CAST(floor(latitude / 0.1::DOUBLE) AS BIGINT) AS lat_cell, CAST(floor(longitude / 0.1::DOUBLE) AS BIGINT) AS lon_cell,
+       count(*) AS n, round(avg(altitude), 9) AS mean_altitude FROM sn GROUP BY 1, 2""",
+    "sn",
+)
+def density_grid(spark, root):
+    return spatial.density_grid(bindings.snapshots(spark, root)).withColumn(
+        "mean_altitude", F.round("mean_altitude", 9)
+    )

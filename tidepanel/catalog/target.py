@@ -25,23 +25,23 @@ CLASS_COLUMNS = ("acps", "p60", "p85", "congestion_class", "congestion_binary")
 
 @query(
     "acps_daily",
-    "SELECT entity, dt, total_movements, round(pressure_ratio, 6) AS pressure_ratio, acps FROM ad",
+    "SELECT entity, dt, total_movements, round(pressure_ratio, 9) AS pressure_ratio, acps FROM ad",
     "ad",
 )
 def acps_daily(spark, root):
     return daily_scored(spark, root, ("pressure_ratio", "acps")).select(
-        "entity", "dt", "total_movements", F.round("pressure_ratio", 6).alias("pressure_ratio"), "acps"
+        "entity", "dt", "total_movements", F.round("pressure_ratio", 9).alias("pressure_ratio"), "acps"
     )
 
 
 @query(
     "acps_hourly",
-    "SELECT entity, ts_hour, total_movements, round(pressure_ratio, 6) AS pressure_ratio, acps FROM ah",
+    "SELECT entity, ts_hour, total_movements, round(pressure_ratio, 9) AS pressure_ratio, acps FROM ah",
     "ah",
 )
 def acps_hourly(spark, root):
     return hourly_scored(spark, root, ("pressure_ratio", "acps")).select(
-        "entity", "ts_hour", "total_movements", F.round("pressure_ratio", 6).alias("pressure_ratio"), "acps"
+        "entity", "ts_hour", "total_movements", F.round("pressure_ratio", 9).alias("pressure_ratio"), "acps"
     )
 
 
@@ -58,7 +58,7 @@ def group_median(spark, root):
 
 @query(
     "zscore",
-    """SELECT d.entity, dt, round(CASE WHEN s > 0 THEN (total_movements - m) / s ELSE 0 END, 6) AS z_total
+    """SELECT d.entity, dt, round(CASE WHEN s > 0 THEN (total_movements - m) / s ELSE 0 END, 9) AS z_total
     FROM dp d JOIN (SELECT entity, avg(total_movements) AS m, stddev_samp(total_movements) AS s
                     FROM dp GROUP BY 1) t ON t.entity = d.entity""",
     "dp",
@@ -66,14 +66,14 @@ def group_median(spark, root):
 def zscore(spark, root):
     panel = bindings.daily_panel(spark, root)
     return stats.zscore(panel, ["entity"], "total_movements", "z").select(
-        "entity", "dt", F.round("z", 6).alias("z_total")
+        "entity", "dt", F.round("z", 9).alias("z_total")
     )
 
 
 @query(
     "minmax",
     """SELECT d.entity, dt, round(CASE WHEN hi = lo THEN 50
-            ELSE (total_movements - lo) / (hi - lo)::DOUBLE * 100 END, 6) AS rescaled
+            ELSE (total_movements - lo) / (hi - lo)::DOUBLE * 100 END, 9) AS rescaled
     FROM dp d JOIN (SELECT entity, min(total_movements) AS lo, max(total_movements) AS hi
                     FROM dp GROUP BY 1) t ON t.entity = d.entity""",
     "dp",
@@ -81,15 +81,15 @@ def zscore(spark, root):
 def minmax(spark, root):
     panel = bindings.daily_panel(spark, root)
     return stats.minmax(panel, ["entity"], "total_movements", "v").select(
-        "entity", "dt", F.round("v", 6).alias("rescaled")
+        "entity", "dt", F.round("v", 9).alias("rescaled")
     )
 
 
-@query("acps_thresholds", "SELECT entity, round(p60, 6) AS p60, round(p85, 6) AS p85 FROM thr", "thr")
+@query("acps_thresholds", "SELECT entity, round(p60, 9) AS p60, round(p85, 9) AS p85 FROM thr", "thr")
 def acps_thresholds(spark, root):
     panel = target.with_phase(bindings.daily_panel(spark, root), "dt")
     return target.thresholds(panel, DAILY_PHASE).select(
-        "entity", F.round("p60", 6).alias("p60"), F.round("p85", 6).alias("p85")
+        "entity", F.round("p60", 9).alias("p60"), F.round("p85", 9).alias("p85")
     )
 
 
@@ -137,7 +137,7 @@ def quantile_bins(spark, root):
 @query(
     "imbalance",
     """SELECT entity, dt, arrivals, departures,
-       round((arrivals - departures) / greatest(1, total_movements)::DOUBLE, 6) AS arr_dep_imbalance FROM dp""",
+       round((arrivals - departures) / greatest(1, total_movements)::DOUBLE, 9) AS arr_dep_imbalance FROM dp""",
     "dp",
 )
 def imbalance(spark, root):
@@ -145,5 +145,5 @@ def imbalance(spark, root):
 
     return bindings.daily_panel(spark, root).select(
         "entity", "dt", "arrivals", "departures",
-        F.round(share(F.col("arrivals"), F.col("departures")), 6).alias("arr_dep_imbalance"),
+        F.round(share(F.col("arrivals"), F.col("departures")), 9).alias("arr_dep_imbalance"),
     )

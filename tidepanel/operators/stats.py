@@ -46,7 +46,7 @@ def quantiles(
     at = F.array(*[F.lit(float(points[n])) for n in names])
     return (
         counts.groupBy(*keys)
-        .agg(F.percentile("_value", at, "_n").alias("_q"))
+        .agg(F.percentile("_value", at, F.col("_n")).alias("_q"))
         .select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     )
 

@@ -31,13 +31,27 @@ def lag_columns(column: str, label: str, lags: Sequence[int], unit: str) -> dict
     }
 
 
+def in_units(column: str, digits: int) -> Column:
+    """A column of fixed digits as whole units. Sums of them do not depend on row order,
+    so results stay equal when tasks are rerun or data is laid out differently."""
+    return F.round(F.col(column) * 10**digits).cast("bigint")
+
+
 def trailing_columns(
-    column: str, label: str, means: Sequence[int], stds: Sequence[int], unit: str
+    column: str, label: str, means: Sequence[int], stds: Sequence[int], unit: str, digits: int = 0
 ) -> dict[str, WindowColumn]:
-    """Trailing mean and sample deviation with the current row, from one row on."""
+    """Trailing mean and sample deviation with the current row, from one row on.
+
+    ``digits`` is the number of decimals the column is stored with."""
     out: dict[str, WindowColumn] = {}
     for n in means:
-        out[f"{label}_rmean_{n}{unit}"] = lambda w, n=n: F.avg(column).over(w.rowsBetween(1 - n, 0))
+
+        def mean(w, n=n):
+            frame = w.rowsBetween(1 - n, 0)
+            total = F.sum(in_units(column, digits)).over(frame) / F.count(column).over(frame)
+            return total / F.lit(float(10**digits))
+
+        out[f"{label}_rmean_{n}{unit}"] = mean
     for n in stds:
         out[f"{label}_rstd_{n}{unit}"] = lambda w, n=n: F.stddev_samp(column).over(
             w.rowsBetween(1 - n, 0)
@@ -54,7 +68,9 @@ def daily_window_features(df: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     columns = {
         **lag_columns("acps", "acps", s.daily_lags, "d"),
         **lag_columns("total_movements", "movements", s.daily_lags, "d"),
-        **trailing_columns("acps", "acps", s.daily_mean_windows, s.daily_std_windows, "d"),
+        **trailing_columns(
+            "acps", "acps", s.daily_mean_windows, s.daily_std_windows, "d", s.score_digits
+        ),
         **trailing_columns("total_movements", "movements", s.daily_mean_windows, (), "d"),
         "movements_yoy_change": lambda w: F.col("total_movements")
         - F.lag("total_movements", s.year_lag).over(w),
@@ -66,7 +82,9 @@ def daily_window_features(df: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
 def hourly_window_features(df: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     columns = {
         **lag_columns("acps", "acps", s.hourly_lags, "h"),
-        **trailing_columns("acps", "acps", s.hourly_mean_windows, s.hourly_std_windows, "h"),
+        **trailing_columns(
+            "acps", "acps", s.hourly_mean_windows, s.hourly_std_windows, "h", s.score_digits
+        ),
     }
     back = max(*s.hourly_lags, *s.hourly_mean_windows, *s.hourly_std_windows)
     return with_windows(df, columns, back)
@@ -113,7 +131,9 @@ def forward_fill(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = KE
     return carried.withColumns({f"{c}_filled": F.coalesce(f"{c}_filled", F.lit(0)) for c in columns})
 
 
-def seasonal_decompose(df: DataFrame, column: str, period: int, multiplicative: bool = False) -> DataFrame:
+def seasonal_decompose(
+    df: DataFrame, column: str, period: int, multiplicative: bool = False, digits: int = DEFAULTS.score_digits
+) -> DataFrame:
     """Trend by a centred moving average, seasonal part by phase means, remainder.
 
     An even period takes half weights at both ends of its frame. The ends of a series,
@@ -122,15 +142,21 @@ def seasonal_decompose(df: DataFrame, column: str, period: int, multiplicative:
     half = period // 2
 
     def trend(w):
+        units = F.col("_units")
         if period % 2:
-            total = F.sum(column).over(w.rowsBetween(-half, half))
+            doubled = F.sum(units).over(w.rowsBetween(-half, half)) * 2
         else:
-            ends = F.lag(column, half).over(w) + F.lead(column, half).over(w)
-            total = F.sum(column).over(w.rowsBetween(1 - half, half - 1)) + ends * 0.5
+            ends = F.lag(units, half).over(w) + F.lead(units, half).over(w)
+            doubled = F.sum(units).over(w.rowsBetween(1 - half, half - 1)) * 2 + ends
         whole = (F.col("pos") >= half) & (F.col("pos") < F.col("n_steps") - half)
-        return F.when(whole & (F.col("n_steps") >= 2 * period), total / period)
+        enough = whole & (F.col("n_steps") >= 2 * period)
+        return F.when(enough, doubled / (2 * period) / F.lit(float(10**digits)))
 
-    base = with_windows(df, {"trend": trend}, half, half).withColumn("phase", F.col("pos") % period)
+    base = (
+        with_windows(df.withColumn("_units", in_units(column, digits)), {"trend": trend}, half, half)
+        .drop("_units")
+        .withColumn("phase", F.col("pos") % period)
+    )
     x, t = F.col(column), F.col("trend")
     flat = F.when(t != 0, x / t) if multiplicative else x - t
     means = base.groupBy("entity", "phase").agg(F.avg(flat).alias("_phase_mean"))
