@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepanel.catalog.registry import query
-from tidepanel.catalog.series import daily_table, r9
+from tidepanel.catalog.series import r9, stored_table
 from tidepanel.catalog.target import CLASS_COLUMNS, daily_scored, hourly_scored
 from tidepanel.operators import baselines, evaluate, profiles, windows
 
@@ -372,7 +372,7 @@ DEEP = ("total_movements", "departures", "arrivals", "acps_lag_1d", "acps_rmean_
     "dsplit",
 )
 def feature_deviation(spark, root):
-    table = daily_table(spark, root)
+    table = stored_table(spark, root)
     stats = profiles.feature_stats(table.filter("split = 'train'"), DEEP)
     out = evaluate.feature_deviation(table.filter("split = 'test'"), stats, DEEP, ["entity", "dt"])
     return out.select("entity", "dt", "feature", *r9("value", "z_score", "position"))
@@ -389,7 +389,7 @@ def feature_deviation(spark, root):
 )
 def rank_lookup(spark, root):
     """Features of the test rows ranked by training correlation; 0 for those without one."""
-    table = daily_table(spark, root)
+    table = stored_table(spark, root)
     train = table.filter("split = 'train'")
     importance = profiles.target_correlation(train, "acps", DEEP[:3], ()).select(
         "feature", F.col("abs_correlation").alias("importance")

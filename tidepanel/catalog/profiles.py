@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepanel.catalog.registry import query
-from tidepanel.catalog.series import daily_table, r9, sql_r9
+from tidepanel.catalog.series import daily_table, r9, stored_table
 from tidepanel.catalog.target import daily_scored
 from tidepanel.operators import profiles, quality, stats, windows
+from tidepanel.session import materialize
 from tidepanel.sources import bindings
 
 
@@ -160,7 +161,7 @@ FEATURES = ("total_movements", "departures", "arrivals", "acps_lag_1d", "acps_la
     "dsplit",
 )
 def feature_stats(spark, root):
-    train = daily_table(spark, root).filter("split = 'train'")
+    train = stored_table(spark, root).filter("split = 'train'")
     return profiles.feature_stats(train, FEATURES).select(
         "entity", "feature", *r9("mean", "std", "min", "max", "p10", "p50", "p90")
     )
@@ -337,8 +338,10 @@ def dq_reference(spark, root):
     "hp hp0 wxh",
 )
 def dq_report(spark, root):
-    moves = bindings.hourly_raw(spark, root)
-    weather = bindings.hourly_weather(spark, root).select(F.col("ts").alias("ts_hour"), "temperature_2m")
+    moves = bindings.hourly_counted(spark, root)
+    weather = materialize(
+        bindings.hourly_weather(spark, root).select(F.col("ts").alias("ts_hour"), "temperature_2m"), "weather"
+    )
     return quality.report(
         {
             "movements": {

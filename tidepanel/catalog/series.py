@@ -10,6 +10,7 @@ from tidepanel.functions import calendar as cal
 from tidepanel.functions import weather as wx
 from tidepanel.operators import lookups, panel, stats, windows
 from tidepanel.plans import model_table
+from tidepanel.session import materialize
 from tidepanel.sources import bindings
 
 
@@ -74,7 +75,7 @@ def gap_fill(spark, root):
     "hp",
 )
 def missing_hours(spark, root):
-    return panel.missing_steps(bindings.hourly_raw(spark, root), ["entity"], "ts_hour", "hour")
+    return panel.missing_steps(bindings.hourly_counted(spark, root), ["entity"], "ts_hour", "hour")
 
 
 # ---------------------------------------------------------------- calendar
@@ -399,6 +400,11 @@ def daily_table(spark, root):
     )
 
 
+def stored_table(spark, root):
+    """The daily model table written once, for queries that read it more than once."""
+    return materialize(daily_table(spark, root), "model-table")
+
+
 @query("chrono_split", "SELECT entity, dt, acps, split FROM dsplit", "dsplit")
 def chrono_split(spark, root):
     """The whole daily model table with its chronological split."""
@@ -499,7 +505,7 @@ def annotated_series(spark, root):
 
 def _open_panel(spark, root):
     """The daily spine with NULL where a day has no rows."""
-    raw = bindings.daily_raw(spark, root)
+    raw = bindings.daily_counted(spark, root)
     return panel.time_spine(raw, ["entity"], "dt", "day").join(
         raw.select("entity", "dt", (F.col("arrivals") + F.col("departures")).alias("total_movements")),
         ["entity", "dt"],
@@ -532,7 +538,7 @@ def forward_fill(spark, root):
 def median_impute(spark, root):
     """Medians per entity and split, as learnt on that split."""
     columns = ("acps_lag_365d", "movements_yoy_change")
-    return stats.median_fill(daily_table(spark, root), ["entity", "split"], columns).select(
+    return stats.median_fill(stored_table(spark, root), ["entity", "split"], columns).select(
         "entity", "dt", "split", *r9(*columns)
     )
 
@@ -550,7 +556,7 @@ def asof_history(spark, root):
     targets = bindings.events(spark, root).select(
         "event_id", (F.col("user_id") % 5).alias("entity"), F.date_trunc("hour", "ts").alias("ts_hour")
     )
-    history = bindings.hourly_raw(spark, root).withColumn(
+    history = bindings.hourly_counted(spark, root).withColumn(
         "total_movements", F.col("arrivals") + F.col("departures")
     )
     found = lookups.asof_before(targets, history, ["entity"], "ts_hour", ["total_movements"], 3600)
@@ -574,7 +580,7 @@ def asof_history(spark, root):
     "dp0",
 )
 def lag_lookup(spark, root):
-    raw = bindings.daily_raw(spark, root).select(
+    raw = bindings.daily_counted(spark, root).select(
         "entity", "dt", (F.col("arrivals") + F.col("departures")).alias("total_movements")
     )
     out = lookups.lag_by_date(raw, ["entity"], "dt", "total_movements", (1, 2, 3, 7, 14, 28))

@@ -1 +1,85 @@
+"""Streaming queries, run over all available input and checked against batch SQL.
 
+A window is sent when it ends no later than the latest event time less the delay.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidepanel.catalog.registry import query
+from tidepanel.catalog.spatial import _density_sql, rounded_density
+from tidepanel.operators.stats import quantiles
+from tidepanel.session import new_path
+from tidepanel.sources import bindings
+from tidepanel.streaming import live
+
+CLOSED = "ts_hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
+
+
+def _landed(spark, stream, label):
+    out = new_path(spark, label)
+    live.run_available(stream, out, new_path(spark, f"{label}-progress"))
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+@query(
+    "stream_hourly",
+    f"SELECT entity, ts_hour, arrivals, departures, arrivals + departures AS total_movements FROM hp0 WHERE {CLOSED}",
+    "hp0",
+)
+def stream_hourly(spark, root):
+    events = live.event_stream(spark, f"{root}/events.parquet")
+    return _landed(spark, live.hourly_movements(events), "live-hourly")
+
+
+@query(
+    "stream_density",
+    _density_sql().replace("FROM snb", f"FROM snb WHERE {CLOSED.replace('ts_hour', 'snapshot_ts')}"),
+    "snb",
+)
+def stream_density(spark, root):
+    i = F.col("event_id")
+    reports = live.event_stream(spark, f"{root}/events.parquet").select(
+        "ts",
+        (F.lit(39.78) + (i * 7919) % 10000 / F.lit(10000.0) * 1.43).alias("latitude"),
+        (F.lit(-4.50) + (i * 104729) % 10000 / F.lit(10000.0) * 1.87).alias("longitude"),
+        ((i * 31) % 40000).alias("altitude"),
+        (100 + (i * 17) % 400).alias("ground_speed"),
+    )
+    return rounded_density(_landed(spark, live.density(reports), "live-density"), "snapshot_ts")
+
+
+@query("stream_dedupe", "SELECT event_id, ts, user_id, event_type FROM events")
+def stream_dedupe(spark, root):
+    """Every event sent twice, kept once."""
+    events = live.event_stream(spark, f"{root}/events.parquet").select("event_id", "ts", "user_id", "event_type")
+    again = live.event_stream(spark, f"{root}/events.parquet").select("event_id", "ts", "user_id", "event_type")
+    return _landed(spark, live.first_seen(events.union(again), "event_id"), "live-dedupe")
+
+
+@query("stream_incremental", "SELECT event_id, event_type, value FROM events")
+def stream_incremental(spark, root):
+    """Two runs on one checkpoint: the second finds nothing new."""
+    out, progress = new_path(spark, "live-new"), new_path(spark, "live-new-progress")
+    for _ in range(2):
+        events = live.event_stream(spark, f"{root}/events.parquet").select("event_id", "event_type", "value")
+        live.run_available(events, out, progress)
+    return spark.read.schema(events.schema).parquet(out)
+
+
+@query(
+    "stream_classify",
+    f"""WITH t AS (SELECT entity, quantile_cont(total_movements, 0.6) AS p60, quantile_cont(total_movements, 0.85) AS p85 FROM hp GROUP BY 1),
+       c AS (SELECT *, arrivals + departures AS total_movements FROM hp0 WHERE {CLOSED})
+       SELECT c.entity, ts_hour, c.total_movements, CASE WHEN c.total_movements <= p60 THEN 'Low'
+         WHEN c.total_movements <= p85 THEN 'Medium' ELSE 'High' END AS live_class FROM c JOIN t ON t.entity = c.entity""",
+    "hp hp0",
+)
+def stream_classify(spark, root):
+    cuts = quantiles(
+        bindings.hourly_panel(spark, root), ["entity"], "total_movements", {"p60": 0.6, "p85": 0.85}
+    )
+    hourly = live.hourly_movements(live.event_stream(spark, f"{root}/events.parquet"))
+    out = live.classify(hourly, cuts).select("entity", "ts_hour", "total_movements", "live_class")
+    return _landed(spark, out, "live-class")

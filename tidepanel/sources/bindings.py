@@ -1,4 +1,9 @@
-"""The given tables read as panels, weather, holidays and position reports."""
+"""The given tables read as panels, weather, holidays and position reports.
+
+Counts are the only pass over the raw tables. They are written once and read by all that
+follows: gap filling and the score refer to the panel several times, and Catalyst prunes
+each reference differently, so no exchange over the raw tables would be shared.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.config import HOLIDAYS
 from tidepanel.operators.panel import fill_gaps
+from tidepanel.session import materialize
 
 READING_ORDER = (
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
@@ -34,8 +40,12 @@ def hourly_raw(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def hourly_counted(spark: SparkSession, root: str) -> DataFrame:
+    return materialize(hourly_raw(spark, root), "hourly-counts")
+
+
 def hourly_panel(spark: SparkSession, root: str) -> DataFrame:
-    return fill_gaps(hourly_raw(spark, root), ["entity"], "ts_hour", "hour")
+    return fill_gaps(hourly_counted(spark, root), ["entity"], "ts_hour", "hour")
 
 
 def placed_orders(spark: SparkSession, root: str) -> DataFrame:
@@ -67,8 +77,12 @@ def daily_raw(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def daily_counted(spark: SparkSession, root: str) -> DataFrame:
+    return materialize(daily_raw(spark, root), "daily-counts")
+
+
 def daily_panel(spark: SparkSession, root: str) -> DataFrame:
-    return fill_gaps(daily_raw(spark, root), ["entity"], "dt", "day")
+    return fill_gaps(daily_counted(spark, root), ["entity"], "dt", "day")
 
 
 def weather_readings(spark: SparkSession, root: str) -> DataFrame:
