@@ -1 +1,214 @@
+"""MLlib models, clustering, autoregression."""
 
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from tidepanel.catalog.registry import query
+from tidepanel.catalog.series import stored_table
+from tidepanel.operators import arx, baselines, evaluate, models, stats
+from tidepanel.operators.profiles import crosstab_margins
+from tidepanel.plans.model_table import feature_columns
+from tidepanel.session import new_path
+
+# The lighter of the two known settings; ``models.boosted_regressor`` defaults to the other.
+LIGHT = {"rounds": 100, "depth": 3, "step": 0.1, "leaf": 2}
+
+
+def splits(table):
+    return table.filter("split = 'train'"), table.filter("split <> 'train'")
+
+
+def split_scores(predicted, label="acps_pred"):
+    out = evaluate.regression_metrics(predicted, "acps", label, ["split"])
+    return out.select("split", "n", "mae", "rmse", "r2")
+
+
+def _regress(spark, root, estimator):
+    table = stored_table(spark, root)
+    train, held_out = splits(table)
+    features = feature_columns(table)
+    model = models.fit(train, features, [estimator])
+    return split_scores(model.transform(models.as_doubles(held_out, features)))
+
+
+def _classify(spark, root, stages_of, scale=False):
+    table = stored_table(spark, root)
+    train, held_out = splits(table)
+    features = feature_columns(table)
+    model = models.fit(train, features, stages_of(len(features)), scale)
+    predicted = model.transform(models.as_doubles(held_out, features))
+    return evaluate.classification_metrics(
+        predicted, "congestion_class", "congestion_pred", ["split"]
+    )
+
+
+@query("gbt_regress")
+def gbt_regress(spark, root):
+    return _regress(spark, root, models.boosted_regressor(**LIGHT))
+
+
+@query("rf_regress")
+def rf_regress(spark, root):
+    return _regress(spark, root, models.forest_regressor(trees=50, depth=10))
+
+
+@query("linear_regress")
+def linear_regress(spark, root):
+    return _regress(spark, root, models.linear_regressor())
+
+
+@query("gbt_classify")
+def gbt_classify(spark, root):
+    return _classify(spark, root, lambda n: models.boosted_classifier(rounds=20, depth=3, leaf=2))
+
+
+@query("mlp_classify")
+def mlp_classify(spark, root):
+    return _classify(spark, root, lambda n: models.perceptron(n, rounds=100), scale=True)
+
+
+@query("permutation_importance")
+def permutation_importance(spark, root):
+    """Mean drop in R2 of every feature on the test rows, ten repeats."""
+    table = stored_table(spark, root)
+    features = feature_columns(table)
+    model = models.fit(table.filter("split = 'train'"), features, [models.boosted_regressor(rounds=20, depth=3)])
+    return models.permutation_importance(model, table.filter("split = 'test'"), features, "dt")
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark, root):
+    """Predictions of a stored and reloaded model against those of the fitted one."""
+    table = stored_table(spark, root)
+    train, held_out = splits(table)
+    features = feature_columns(table)
+    model = models.fit(train, features, [models.linear_regressor()])
+    again = models.save_and_load(model, new_path(spark, "model"))
+    rows = models.as_doubles(held_out, features)
+    base = model.transform(rows).select("entity", "dt", F.col("acps_pred").alias("before"))
+    back = again.transform(rows).select("entity", "dt", F.col("acps_pred").alias("after"))
+    both = base.join(back, ["entity", "dt"])
+    return both.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("before") - F.col("after"))).alias("max_difference")
+    )
+
+
+# ---------------------------------------------------------------- clusters
+
+CLUSTERED = ("total_movements", "arrivals", "departures", "dow", "month", "is_weekend", "is_holiday")
+
+
+def _vectors(spark, root):
+    table = stored_table(spark, root)
+    scaled = stats.standardize(table.fillna(0, list(CLUSTERED)), ["entity"], CLUSTERED)
+    return scaled.select(
+        "entity", "dt", "acps", "congestion_class", *CLUSTERED,
+        array_to_vector(F.array(*[F.col(f"{c}_scaled") for c in CLUSTERED])).alias("features"),
+    )
+
+
+def _clustered(spark, root):
+    vectors = _vectors(spark, root).persist()
+    model, _ = models.best_kmeans(vectors, 3)
+    return model.transform(vectors)
+
+
+@query("kmeans_assign")
+def kmeans_assign(spark, root):
+    return _clustered(spark, root).select("entity", "dt", "cluster")
+
+
+@query("kmeans_elbow")
+def kmeans_elbow(spark, root):
+    vectors = _vectors(spark, root).persist()
+    rows = [(k, models.best_kmeans(vectors, k, starts=3)[1]) for k in range(2, 8)]
+    return spark.createDataFrame(rows, "k int, inertia double")
+
+
+@query("cluster_profile")
+def cluster_profile(spark, root):
+    """Cluster centres in original units with their class counts."""
+    out = _clustered(spark, root)
+    centres = out.groupBy(F.col("cluster").cast("string").alias("cluster")).agg(
+        *[F.avg(c).alias(c) for c in CLUSTERED]
+    )
+    table = crosstab_margins(out, "cluster", "congestion_class", ("Low", "Medium", "High"))
+    return table.join(centres, "cluster", "left")
+
+
+# ---------------------------------------------------------------- autoregression
+
+EXOG = ("temperature_2m", "wind_speed_10m", "precipitation")
+
+
+def _train_series(table):
+    """Training rows as a gap-free series from 0."""
+    return table.filter("split = 'train'").withColumns(
+        {"pos": F.col("row_index"), "n_steps": F.floor(F.col("n_rows") * F.lit(0.70))}
+    )
+
+
+@query("arx_fit")
+def arx_fit(spark, root):
+    return arx.fit(_train_series(stored_table(spark, root)), "acps", EXOG)
+
+
+@query("arx_forecast")
+def arx_forecast(spark, root):
+    """The first 28 validation days of each entity, forecast from the training rows."""
+    table = stored_table(spark, root)
+    train = _train_series(table)
+    step = (F.col("row_index") - F.floor(F.col("n_rows") * F.lit(0.70)) + 1).cast("int")
+    future = table.withColumn("step", step).filter(F.col("step").between(1, 28))
+    out = arx.forecast(arx.fit(train, "acps", EXOG), train, future, "acps", EXOG)
+    return out.join(future.select("entity", "step", "dt", "acps"), ["entity", "step"]).select(
+        "entity", "step", "dt", "acps", "forecast"
+    )
+
+
+@query("arx_grid")
+def arx_grid(spark, root):
+    """All orders with their AIC; the best of each entity is marked."""
+    fits, best = arx.search(_train_series(stored_table(spark, root)), "acps", EXOG)
+    chosen = best.select("entity", "p", "d", "seasonal", F.lit(True).alias("is_best"))
+    return fits.join(chosen, ["entity", "p", "d", "seasonal"], "left").select(
+        "entity", "p", "d", "seasonal", "n", "sse", "aic", F.coalesce("is_best", F.lit(False)).alias("is_best")
+    )
+
+
+# ---------------------------------------------------------------- end to end
+
+
+@query("forecast_end_to_end")
+def forecast_end_to_end(spark, root):
+    """Table, baselines, models, errors on the test rows, comparison by MAE."""
+    table = stored_table(spark, root)
+    train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
+    features = feature_columns(table)
+    rows = models.as_doubles(test, features)
+    fitted = {
+        "boosted_trees": models.fit(train, features, [models.boosted_regressor(rounds=50, depth=3, leaf=2)]),
+        "linear": models.fit(train, features, [models.linear_regressor()]),
+    }
+    parts = [
+        m.transform(rows).select(F.lit(name).alias("model"), "acps", F.col("acps_pred").alias("predicted"))
+        for name, m in fitted.items()
+    ]
+    series = table.withColumns({"pos": F.col("row_index"), "n_steps": F.col("n_rows")}).drop("split")
+    shifted = baselines.offset_baselines(
+        baselines.train_then_test(series), "acps", {"previous_day": 1, "same_day_last_week": 7}
+    )
+    parts.append(
+        evaluate.showdown(
+            shifted, "acps", {"previous_day": "previous_day", "same_day_last_week": "same_day_last_week"}, ["entity"]
+        ).select("model", "acps", "predicted")
+    )
+    scored = evaluate.regression_metrics(
+        reduce(lambda a, b: a.unionByName(b), parts), "acps", "predicted", ["model"]
+    )
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("mae", "rmse", "r2")])
+    return evaluate.compare_models(scored.select("model", F.inline(cells)), [], ("mae", "rmse", "r2"))
