@@ -393,9 +393,11 @@ def drop_infeasible(spark, root):
 
 
 def daily_table(spark, root):
+    """Weather is one row per day; stored, its size is known to the planner, which then
+    broadcasts it instead of shuffling the panel by date."""
     return model_table.daily_model_table(
         bindings.daily_panel(spark, root),
-        wx.daily_weather(bindings.hourly_weather(spark, root)),
+        materialize(wx.daily_weather(bindings.hourly_weather(spark, root)), "weather-daily"),
         bindings.holidays(spark, root),
     )
 
@@ -411,6 +413,43 @@ def chrono_split(spark, root):
     return daily_table(spark, root).select("entity", "dt", "acps", "split")
 
 
+@query(
+    "chrono_split_ranked",
+    """SELECT entity, dt, CASE WHEN i < floor(n * 0.7::DOUBLE) THEN 'train'
+         WHEN i < floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'valid' ELSE 'test' END AS split
+       FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY dt) - 1 AS i,
+                    count(*) OVER (PARTITION BY entity) AS n FROM dp0)""",
+    "dp0",
+)
+def chrono_split_ranked(spark, root):
+    """The split of a table with gaps, by rank in time."""
+    rows = bindings.daily_counted(spark, root).withColumn("pos", lookups.day_number("dt"))
+    return windows.chrono_split(rows, "dt").select("entity", "dt", "split")
+
+
+@query(
+    "hourly_model_table",
+    """WITH k AS (SELECT * FROM hfeat WHERE """
+    + " AND ".join(f"(acps_lag_{k}h IS NOT NULL OR n_steps <= {k})" for k in (1, 2, 3, 6, 12, 24, 48, 168))
+    + """ AND acps_rstd_24h IS NOT NULL),
+       i AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY pos) - 1 AS i, count(*) OVER (PARTITION BY entity) AS n FROM k)
+       SELECT i.entity, i.ts_hour, acps, acps_lag_168h, round(acps_rstd_24h, 6) AS acps_rstd_24h, wind_speed_10m,
+         CASE WHEN i < floor(n * 0.7::DOUBLE) THEN 'train' WHEN i < floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'valid' ELSE 'test' END AS split
+       FROM i LEFT JOIN (SELECT ts + INTERVAL 9861 DAY AS ts, wind_speed_10m FROM wxh) w ON w.ts = i.ts_hour""",
+    "hfeat wxh",
+)
+def hourly_model_table(spark, root):
+    """The hourly table end to end; weather is moved by 27 years to the time of the events."""
+    moved = bindings.hourly_weather(spark, root).withColumn("ts", F.col("ts") + F.expr("interval 9861 days"))
+    table = model_table.hourly_model_table(
+        bindings.hourly_panel(spark, root), materialize(moved, "weather-hourly"), bindings.holidays(spark, root)
+    )
+    return table.select(
+        "entity", "ts_hour", "acps", "acps_lag_168h", F.round("acps_rstd_24h", 6).alias("acps_rstd_24h"),
+        "wind_speed_10m", "split",
+    )
+
+
 @query(
     "cutoff_split",
     """SELECT entity, dt, acps, CASE WHEN dt < DATE '2000-06-01' THEN 'train' ELSE 'test' END AS split

@@ -113,8 +113,23 @@ def split_label(index: Column, n: Column, s: Settings = DEFAULTS) -> Column:
     return F.when(index < train_end, "train").when(index < valid_end, "valid").otherwise("test")
 
 
+def split_after_warmup(df: DataFrame, lags: Sequence[int], s: Settings = DEFAULTS) -> DataFrame:
+    """``split`` of a gap-free table after ``drop_infeasible``, without ranking.
+
+    A gap-free score has no NULL of its own, so the rows dropped are the first ones of
+    each series: as many as its longest feasible lag, and at least one for the rolling
+    deviation. Row number and row count follow from ``pos`` and ``n_steps``.
+    """
+    n = F.col("n_steps")
+    lost = F.greatest(F.lit(1), *[F.when(n > k, F.lit(k)).otherwise(F.lit(0)) for k in lags])
+    return (
+        df.withColumns({"row_index": F.col("pos") - lost, "n_rows": n - lost})
+        .withColumn("split", split_label(F.col("row_index"), F.col("n_rows"), s))
+    )
+
+
 def chrono_split(df: DataFrame, time: str, s: Settings = DEFAULTS, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Adds ``split`` by rank in time within each entity."""
+    """Adds ``split`` by rank in time within each entity; for tables with gaps."""
     ranked = ordinal(df, keys, [time], block_of(F.col("pos")), "row_index", "n_rows")
     return ranked.withColumn("split", split_label(F.col("row_index"), F.col("n_rows"), s))
 

@@ -44,7 +44,7 @@ def daily_model_table(
     always = [f"{label}_rmean_{n}d" for n in s.daily_mean_windows for label in labels]
     always += [f"acps_rstd_{n}d" for n in s.daily_std_windows]
     kept = windows.drop_infeasible(featured, lags, always)
-    return windows.chrono_split(kept, "dt", s)
+    return windows.split_after_warmup(kept, sorted(set(lags.values())), s)
 
 
 def hourly_model_table(
@@ -60,7 +60,7 @@ def hourly_model_table(
     always = [f"acps_rmean_{n}h" for n in s.hourly_mean_windows]
     always += [f"acps_rstd_{n}h" for n in s.hourly_std_windows]
     kept = windows.drop_infeasible(featured, lags, always)
-    return windows.chrono_split(kept, "ts_hour", s)
+    return windows.split_after_warmup(kept, s.hourly_lags, s)
 
 
 def feature_columns(df: DataFrame) -> list[str]:
