@@ -71,7 +71,7 @@ def _boards(spark, root):
             ).alias("pluginData")
         ).alias("airport")
     )
-    packed = bindings.table(spark, root, "orders").select(F.to_json(document).alias("body"))
+    packed = bindings.spread(bindings.table(spark, root, "orders")).select(F.to_json(document).alias("body"))
     return files.parse_json(packed, "body", raw.BOARD_SCHEMA)
 
 
@@ -95,16 +95,7 @@ def _board_sql(direction: str, source: str, i: str) -> str:
     + _board_sql("departure", "b", "0"),
 )
 def flatten_board(spark, root):
-    boards = _boards(spark, root)
-    arr = raw.board_rows(boards, "arrivals").withColumnsRenamed(
-        {"origin_iata": "place_iata", "origin_icao": "place_icao", "origin_name": "place_name", "estimated_arrival": "estimated"}
-    )
-    dep = raw.board_rows(boards, "departures").withColumnsRenamed(
-        {"dest_iata": "place_iata", "dest_icao": "place_icao", "dest_name": "place_name", "estimated_departure": "estimated"}
-    )
-    return arr.withColumn("direction", F.lit("arrival")).unionByName(
-        dep.withColumn("direction", F.lit("departure"))
-    )
+    return raw.board_movements(_boards(spark, root))
 
 
 @query(
@@ -119,7 +110,7 @@ def flatten_board(spark, root):
 def explode_snapshots(spark, root):
     """A snapshot document per event with one to three aircraft."""
     key = F.col("event_id")
-    base = bindings.events(spark, root).withColumns(
+    base = bindings.spread(bindings.events(spark, root)).withColumns(
         {
             "latitude": F.lit(39.78) + (key * 7919) % 10000 / F.lit(10000.0) * 1.43,
             "longitude": F.lit(-4.50) + (key * 104729) % 10000 / F.lit(10000.0) * 1.87,
@@ -180,7 +171,7 @@ def weather_unpack(spark, root):
         F.transform(hours, lambda i: F.col("l_quantity")).alias("wind_speed_10m"),
         F.transform(hours, lambda i: (F.col("l_quantity") * 2).cast("int")).alias("weather_code"),
     )
-    packed = bindings.table(spark, root, "lineitem").select(
+    packed = bindings.spread(bindings.table(spark, root, "lineitem")).select(
         F.to_json(F.struct(hourly.alias("hourly"))).alias("body")
     )
     rows = raw.weather_rows(files.parse_json(packed, "body", raw.WEATHER_SCHEMA))
@@ -205,7 +196,7 @@ def state_vectors(spark, root):
         none, none, none, none, F.col("user_id").cast("string"), none, none, (key % 4).cast("string"),
     ]
     width = F.when(key % 2 == 0, 17).otherwise(13)
-    packed = bindings.events(spark, root).select(
+    packed = bindings.spread(bindings.events(spark, root)).select(
         F.to_json(F.struct(F.array(F.slice(F.array(*values), F.lit(1), width)).alias("states"))).alias("body")
     )
     rows = raw.state_rows(files.parse_json(packed, "body", raw.STATES_SCHEMA))

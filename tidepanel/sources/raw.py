@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,20 +56,53 @@ def _text(c: Column) -> Column:
 
 def board_rows(boards: DataFrame, side: str) -> DataFrame:
     """One row per flight of one side of a board; missing text is '', missing times NULL."""
-    stop, label = ("origin", "origin") if side == "arrivals" else ("destination", "dest")
-    estimated = "arrival" if side == "arrivals" else "departure"
-    flights = boards.select(
-        F.explode(f"airport.pluginData.schedule.{side}.data").alias("f")
-    ).select("f.flight.*")
+    label = "origin" if side == "arrivals" else "dest"
+    estimated = "estimated_arrival" if side == "arrivals" else "estimated_departure"
+    names = {f"place_{c}": f"{label}_{c}" for c in ("iata", "icao", "name")}
+    rows = board_movements(boards, (side,)).drop("direction")
+    return rows.withColumnsRenamed({**names, "estimated": estimated})
+
+
+def board_movements(boards: DataFrame, sides: Sequence[str] = ("arrivals", "departures")) -> DataFrame:
+    """Flights of both sides in one pass over the boards, with their ``direction``.
+
+    The outer form of the generators keeps Spark from testing the list in a filter of its
+    own, which would parse every document twice.
+    """
+    lists = F.array(
+        *[
+            F.struct(
+                F.lit(side.removesuffix("s")).alias("direction"),
+                F.col(f"airport.pluginData.schedule.{side}.data").alias("data"),
+            )
+            for side in sides
+        ]
+    )
+    flights = (
+        boards.select(F.inline_outer(lists))
+        .select("direction", F.explode_outer("data").alias("f"))
+        .filter("f IS NOT NULL")
+        .select("direction", "f.flight.*")
+    )
+    arriving = F.col("direction") == "arrival"
+
+    def place(field: str) -> Column:
+        return _text(
+            F.when(arriving, F.col(f"airport.origin.{field}")).otherwise(F.col(f"airport.destination.{field}"))
+        )
+
     return flights.select(
+        "direction",
         _text(F.col("identification.number.default")).alias("flight_number"),
         _text(F.col("identification.callsign")).alias("callsign"),
-        _text(F.col(f"airport.{stop}.code.iata")).alias(f"{label}_iata"),
-        _text(F.col(f"airport.{stop}.code.icao")).alias(f"{label}_icao"),
-        _text(F.col(f"airport.{stop}.name")).alias(f"{label}_name"),
+        place("code.iata").alias("place_iata"),
+        place("code.icao").alias("place_icao"),
+        place("name").alias("place_name"),
         F.col("time.scheduled.arrival").alias("scheduled_arrival"),
         F.col("time.scheduled.departure").alias("scheduled_departure"),
-        F.col(f"time.estimated.{estimated}").alias(f"estimated_{estimated}"),
+        F.when(arriving, F.col("time.estimated.arrival"))
+        .otherwise(F.col("time.estimated.departure"))
+        .alias("estimated"),
         F.col("time.real.arrival").alias("real_arrival"),
         F.col("time.real.departure").alias("real_departure"),
         _text(F.col("status.text")).alias("status_text"),
@@ -83,7 +118,9 @@ def snapshot_rows(snapshots: DataFrame) -> DataFrame:
         "airport_lat",
         "airport_lon",
         "flight_count",
-        F.inline("flights"),
+        F.explode_outer("flights").alias("flight"),
+    ).filter("flight IS NOT NULL").select(
+        "snapshot_ts", "airport_lat", "airport_lon", "flight_count", "flight.*"
     )
 
 
@@ -97,13 +134,13 @@ def weather_rows(documents: DataFrame) -> DataFrame:
             for n, kind in kinds.items()
         ]
     )
-    rows = documents.select(F.explode(zipped).alias("h")).select("h.*")
+    rows = documents.select(F.explode_outer(zipped).alias("h")).filter("h IS NOT NULL").select("h.*")
     return rows.withColumn("ts", F.to_timestamp("time")).drop("time")
 
 
 def state_rows(documents: DataFrame) -> DataFrame:
     """Positional values to named, typed columns; positions that did not arrive are NULL."""
-    vector = documents.select(F.explode("states").alias("v"))
+    vector = documents.select(F.explode_outer("states").alias("v")).filter("v IS NOT NULL")
     return vector.select(
         *[
             F.get("v", F.lit(i)).try_cast(kind).alias(name)
