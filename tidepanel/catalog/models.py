@@ -12,7 +12,7 @@ from tidepanel.catalog.series import stored_table
 from tidepanel.operators import arx, baselines, evaluate, models, stats
 from tidepanel.operators.profiles import crosstab_margins
 from tidepanel.plans.model_table import feature_columns
-from tidepanel.session import new_path
+from tidepanel.session import materialize, new_path
 
 # The lighter of the two known settings; ``models.boosted_regressor`` defaults to the other.
 LIGHT = {"rounds": 100, "depth": 3, "step": 0.1, "leaf": 2}
@@ -105,14 +105,15 @@ CLUSTERED = ("total_movements", "arrivals", "departures", "dow", "month", "is_we
 def _vectors(spark, root):
     table = stored_table(spark, root)
     scaled = stats.standardize(table.fillna(0, list(CLUSTERED)), ["entity"], CLUSTERED)
-    return scaled.select(
+    vectors = scaled.select(
         "entity", "dt", "acps", "congestion_class", *CLUSTERED,
         array_to_vector(F.array(*[F.col(f"{c}_scaled") for c in CLUSTERED])).alias("features"),
     )
+    return materialize(vectors, "vectors")
 
 
 def _clustered(spark, root):
-    vectors = _vectors(spark, root).persist()
+    vectors = _vectors(spark, root)
     model, _ = models.best_kmeans(vectors, 3)
     return model.transform(vectors)
 
@@ -124,7 +125,7 @@ def kmeans_assign(spark, root):
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, root):
-    vectors = _vectors(spark, root).persist()
+    vectors = _vectors(spark, root)
     rows = [(k, models.best_kmeans(vectors, k, starts=3)[1]) for k in range(2, 8)]
     return spark.createDataFrame(rows, "k int, inertia double")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidepanel.catalog.diagnostics import RESIDUALS, residuals
 from tidepanel.catalog.registry import query
 from tidepanel.catalog.series import daily_table, r9
-from tidepanel.session import new_path
+from tidepanel.session import new_path, spread
 from tidepanel.sources import bindings, files, raw
 
 
@@ -71,7 +71,7 @@ def _boards(spark, root):
             ).alias("pluginData")
         ).alias("airport")
     )
-    packed = bindings.spread(bindings.table(spark, root, "orders")).select(F.to_json(document).alias("body"))
+    packed = spread(bindings.table(spark, root, "orders")).select(F.to_json(document).alias("body"))
     return files.parse_json(packed, "body", raw.BOARD_SCHEMA)
 
 
@@ -110,7 +110,7 @@ def flatten_board(spark, root):
 def explode_snapshots(spark, root):
     """A snapshot document per event with one to three aircraft."""
     key = F.col("event_id")
-    base = bindings.spread(bindings.events(spark, root)).withColumns(
+    base = spread(bindings.events(spark, root)).withColumns(
         {
             "latitude": F.lit(39.78) + (key * 7919) % 10000 / F.lit(10000.0) * 1.43,
             "longitude": F.lit(-4.50) + (key * 104729) % 10000 / F.lit(10000.0) * 1.87,
@@ -171,7 +171,7 @@ def weather_unpack(spark, root):
         F.transform(hours, lambda i: F.col("l_quantity")).alias("wind_speed_10m"),
         F.transform(hours, lambda i: (F.col("l_quantity") * 2).cast("int")).alias("weather_code"),
     )
-    packed = bindings.spread(bindings.table(spark, root, "lineitem")).select(
+    packed = spread(bindings.table(spark, root, "lineitem")).select(
         F.to_json(F.struct(hourly.alias("hourly"))).alias("body")
     )
     rows = raw.weather_rows(files.parse_json(packed, "body", raw.WEATHER_SCHEMA))
@@ -196,7 +196,7 @@ def state_vectors(spark, root):
         none, none, none, none, F.col("user_id").cast("string"), none, none, (key % 4).cast("string"),
     ]
     width = F.when(key % 2 == 0, 17).otherwise(13)
-    packed = bindings.spread(bindings.events(spark, root)).select(
+    packed = spread(bindings.events(spark, root)).select(
         F.to_json(F.struct(F.array(F.slice(F.array(*values), F.lit(1), width)).alias("states"))).alias("body")
     )
     rows = raw.state_rows(files.parse_json(packed, "body", raw.STATES_SCHEMA))

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.config import CLASS_LABELS
-from tidepanel.operators.blocks import block_of, ordinal
+from tidepanel.operators.blocks import ordinal
+from tidepanel.session import materialize, spread
 
 TARGET = "acps"
 SEED = 42
@@ -88,7 +89,8 @@ def perceptron(n_features: int, hidden: Sequence[int] = (64, 64), rounds: int =
 
 
 def permutation_importance(
-    model: PipelineModel, test: DataFrame, features: Sequence[str], time: str, repeats: int = 10
+    model: PipelineModel, test: DataFrame, features: Sequence[str], time: str, repeats: int = 10,
+    buckets: int = 4096,
 ) -> DataFrame:
     """Mean drop in R2 when one feature is shuffled, per feature.
 
@@ -96,10 +98,15 @@ def permutation_importance(
     (``a * i + b mod n`` with ``a`` prime and no divisor of ``n``); the pair lends one
     value at a time. Rows meet by an equi-join on the number; no task holds the table.
     """
-    vectors = model_inputs(model, test, features)
-    numbered = ordinal(
-        vectors.withColumn("_all", F.lit(1)), ["_all"], [time, "entity"], block_of(F.datediff(time, F.lit("1970-01-01")), 64), "_i", "_n"
-    ).select("_i", "_n", "_x", TARGET)
+    vectors = model_inputs(model, test, features).withColumn("_all", F.lit(1))
+    # any dense numbering will do: by hash bucket, then by key inside a bucket
+    bucket = F.pmod(F.xxhash64("entity", time), F.lit(buckets))
+    numbered = spread(
+        materialize(
+            ordinal(vectors, ["_all"], ["entity", time], bucket, "_i", "_n").select("_i", "_n", "_x", TARGET),
+            "numbered",
+        )
+    )
     primes = (1000003, 1000033, 1000037, 1000039, 1000081, 1000099, 1000117, 1000121, 1000133, 1000151)
     steps = F.array(*[F.lit(primes[r % len(primes)]) for r in range(repeats)])
     shifts = F.array(*[F.lit(7919 * (r + 1)) for r in range(repeats)])

@@ -24,13 +24,6 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """For heavy work per row on a small file that is one split: spread it over the cores.
-    Input of at least as many splits as cores is left alone, so large tables never shuffle here."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def events(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
