@@ -118,7 +118,7 @@ def fixed_class(spark, root):
               FROM psplit WHERE split = 'train' GROUP BY 1)
     SELECT p.entity, dt, split, acps,
       CASE WHEN acps >= edges[1] AND acps <= edges[-1]
-           THEN greatest(len(list_filter(edges, lambda x: x < acps)) - 1, 0) END AS bin
+           THEN CAST(greatest(len(list_filter(edges, lambda x: x < acps)) - 1, 0) AS INTEGER) END AS bin
     FROM psplit p JOIN e ON e.entity = p.entity""",
     "psplit",
 )
