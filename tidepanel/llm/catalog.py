@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import byte_bpe, packing, slot_shards, url_filter
-from tidepanel.llm.common import table
+from tidepanel.llm import byte_bpe, minmax, packing, quality, slot_shards, toxicity, url_filter
+from tidepanel.llm.common import held_out, table
 from tidepanel.session import new_path
 
 #: (verdict, host, path)
@@ -20,6 +20,22 @@ URL_RULES = (
 )
 
 
+TOXIC_FROM, GOOD_FROM = 0.3, 0.7
+
+
+def op1_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    """Chance that each document is toxic."""
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, root, "labels"))
+    return _judged(toxicity.score(docs, model), TOXIC_FROM)
+
+
+def _judged(scored: DataFrame, least: float) -> DataFrame:
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted")
+    )
+
+
 def op3_url_filter(spark: SparkSession, root: str) -> DataFrame:
     """Verdict of every page's URL."""
     pages = table(spark, root, "pages").select("page_id", "url")
@@ -48,6 +64,11 @@ def op4_slot_shards(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op5_minmax(spark: SparkSession, root: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    return minmax.near_duplicates(table(spark, root, "documents"), words=2)
+
+
 def op6_pack(spark: SparkSession, root: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     pieces = packing.pack(table(spark, root, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -56,6 +77,13 @@ def op6_pack(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, root: str) -> DataFrame:
+    """Chance that each document is of good quality."""
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, root, "labels"))
+    return _judged(quality.score(docs, model), GOOD_FROM)
+
+
 def op8_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
     """Every text's ids and the bytes they decode to, as digests."""
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -71,9 +99,12 @@ def op8_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_url_filter": op3_url_filter,
     "op4_slot_shards": op4_slot_shards,
+    "op5_minmax": op5_minmax,
     "op6_pack": op6_pack,
+    "op7_quality": op7_quality,
     "op8_byte_bpe": op8_byte_bpe,
 }
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +52,45 @@ def with_arrow_columns(
                 )
 
     return df.mapInArrow(run, schema)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[DataFrame, dict[int, int]]:
+    """``doc_id, text, label`` of at most ``per_class`` labelled ids of each class, and how many
+    labelled ids there are of each class.
+
+    Held-out rows, NULL ids and labels other than 0 and 1 are left out; an id with both labels counts
+    as 1. The sample is the first ids in the order of a hash, so it is the same on every run. Its
+    ids are bounded by the two limits, which is why they may be broadcast.
+    """
+    known = (
+        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+        .groupBy("doc_id")
+        .agg(F.max(label).cast("int").alias("label"))
+    )
+    counts = {0: 0, 1: 0} | {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    parts = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
+    chosen = F.broadcast(parts[0].unionByName(parts[1]))
+    return docs.select("doc_id", "text").join(chosen, "doc_id"), counts
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> Callable[[np.ndarray], np.ndarray]:
+    """Weighted logistic regression on standardised columns by Newton's method; gives the function
+    from rows to probabilities."""
+    mean, scale = x.mean(0), x.std(0)
+    scale = np.where(scale > 0, scale, 1.0)
+    w = np.zeros(x.shape[1] + 1)
+
+    def design(rows: np.ndarray) -> np.ndarray:
+        return np.c_[np.ones(len(rows)), (rows - mean) / scale]
+
+    def chance(rows: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(design(rows) @ w, -30, 30)))
+
+    a, weight = design(x), weight / weight.mean()
+    for _ in range(30):
+        p = chance(x)
+        slope = a.T @ (weight * (p - y)) + ridge * len(x) * w
+        curve = (a * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ a + ridge * len(x) * np.eye(len(w))
+        step = np.linalg.solve(curve, slope)
+        w = w - step / max(1.0, np.abs(step).max() / 4)
+    return chance
