@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import byte_bpe, minmax, packing, quality, slot_shards, toxicity, url_filter
+from tidepanel.llm import byte_bpe, minmax, packing, pivot_topk, quality, rp_forest, slot_shards, toxicity, url_filter, vectors
 from tidepanel.llm.common import held_out, table
 from tidepanel.session import new_path
 
@@ -36,6 +36,26 @@ def _judged(scored: DataFrame, least: float) -> DataFrame:
     )
 
 
+def op2_pivot_topk(spark: SparkSession, root: str) -> DataFrame:
+    """The 10 highest integer inner products of every hundredth vector."""
+    rows = pivot_topk.quantised(table(spark, root, "embeddings"))
+    return pivot_topk.top_k(rows, rows.where("vec_id % 100 = 0"))
+
+
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM pairs
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
 def op3_url_filter(spark: SparkSession, root: str) -> DataFrame:
     """Verdict of every page's URL."""
     pages = table(spark, root, "pages").select("page_id", "url")
@@ -98,14 +118,22 @@ def op8_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op9_rp_forest(spark: SparkSession, root: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector, by inner product."""
+    rows = vectors.usable(table(spark, root, "embeddings"), "vec_id", "embedding", zero=False)
+    return rp_forest.nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_pivot_topk": op2_pivot_topk,
     "op3_url_filter": op3_url_filter,
     "op4_slot_shards": op4_slot_shards,
     "op5_minmax": op5_minmax,
     "op6_pack": op6_pack,
     "op7_quality": op7_quality,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_rp_forest": op9_rp_forest,
 }
 
-ORACLE = {"op3_url_filter": OP3_SQL}
+ORACLE = {"op2_pivot_topk": OP2_SQL, "op3_url_filter": OP3_SQL}
