@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import byte_bpe, minmax, packing, pivot_topk, quality, rp_forest, slot_shards, toxicity, url_filter, vectors
+from tidepanel.llm import byte_bpe, licenses, minmax, packing, pivot_topk, quality, rp_forest, slot_shards, toxicity, url_filter, vectors
 from tidepanel.llm.common import held_out, table
 from tidepanel.session import new_path
 
@@ -124,6 +124,20 @@ def op9_rp_forest(spark: SparkSession, root: str) -> DataFrame:
     return rp_forest.nearest(rows, rows.where("vec_id % 20 = 0"))
 
 
+def op10_licenses(spark: SparkSession, root: str) -> DataFrame:
+    """Licence notices of every document."""
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    return licenses.scan(docs, licenses.fit(docs)).select(
+        "doc_id",
+        "n_paragraphs",
+        F.size("hits").alias("n_hits"),
+        F.array_join("licenses", ",").alias("licenses"),
+        F.array_max(F.transform("hits", lambda h: h["probability"])).alias("best_probability"),
+        F.array_max(F.transform("hits", lambda h: h["similarity"])).alias("best_similarity"),
+        "hits",
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_pivot_topk": op2_pivot_topk,
@@ -134,6 +148,7 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_rp_forest": op9_rp_forest,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE = {"op2_pivot_topk": OP2_SQL, "op3_url_filter": OP3_SQL}
