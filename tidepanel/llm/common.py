@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+#: rows of a batch that goes to Python, so that neither side holds many texts at once
+BATCH_ROWS = 512
+
 #: rows handled at once inside a task, so that memory follows a few texts and not a whole batch
 SLICE = 256
 
@@ -23,6 +26,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df`` in a session whose Arrow batches have at most ``BATCH_ROWS`` rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(name, "0")) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def with_arrow_columns(
     df: DataFrame,
     source: str,
@@ -51,7 +63,7 @@ def with_arrow_columns(
                     [*part.columns, *new], names=[*part.schema.names, *(f.name for f in added)]
                 )
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[DataFrame, dict[int, int]]:

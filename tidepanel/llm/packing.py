@@ -23,13 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
+from tidepanel.llm.common import small_batches
+
 WINDOW = 2048
 
 #: what ending a window costs besides its padding, in tokens
-DOCUMENT_END, SENTENCE_END, INSIDE = 0, 8, 24
+DOCUMENT_END, SENTENCE_END, INSIDE = 0, 4, 12
 
 #: a sentence of more tokens than this gets places to cut inside, one after so many tokens
-LONG_SENTENCE = 128
+LONG_SENTENCE = 64
 
 #: tokens that a task gathers before it chooses cuts; all but the last windows are then final
 STRETCH = 1 << 18
@@ -227,7 +229,7 @@ def pack(
         if rows:
             yield out(rows)
 
-    return df.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(run, schema)
+    return small_batches(df).select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(run, schema)
 
 
 _CODERS: dict[str, WordTokens] = {}

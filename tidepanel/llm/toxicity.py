@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from tidepanel.llm.common import SLICE, fit_logistic, labelled_sample, with_arrow_columns
+from tidepanel.llm.common import SLICE, fit_logistic, labelled_sample, small_batches, with_arrow_columns
 from tidepanel.session import materialize
 
 #: letters of the character model; anything else ends a word
@@ -90,7 +90,7 @@ def trigram_counts(df: DataFrame, text: str = "text") -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(counts[full])], names=["gram", "n"])
 
     schema = StructType([StructField("gram", LongType()), StructField("n", LongType())])
-    parts = df.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    parts = small_batches(df).select(F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
     return parts.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
