@@ -5,9 +5,12 @@ permutations: 128 values from 64 hash evaluations a shingle. Bands of two permut
 values) put documents into buckets; documents of one bucket are compared on their full sets.
 
 Two texts of similarity 0.8 miss all 32 bands with a chance of 5e-8. What shares a bucket is never
-expanded into all pairs: each document is compared with a few leaders of its buckets first, the
-links found are joined to components, and only documents of one bucket that are still in different
-components are compared with each other, so that no link between components is lost.
+expanded into all pairs: each document is compared with a few leaders of its buckets first and the
+links found are joined to components. What shares a bucket and is still in different components is
+then held against each other inside tasks, in blocks of bounded size, by an upper bound of the
+similarity (shingles are counted in 512 cells; two sets share at most the sum of the smaller
+counts). Only pairs that the bound leaves open are emitted and compared on their full sets, so no
+link between components is lost.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from tidepanel.llm.common import SLICE, with_arrow_columns
+from tidepanel.llm.common import SLICE, small_batches, with_arrow_columns
 from tidepanel.llm.components import components
 from tidepanel.session import materialize
 
@@ -31,6 +34,12 @@ BANDS = PERMUTATIONS // PER_BAND
 #: leaders of a bucket are the least ids after these bits are flipped; a band uses one of the masks
 MASKS = (0, 0x5A5A5A5A5A5A5A5A, 0x3C6EF372FE94F82B, 0x7FFFFFFFFFFFFFFF)
 
+#: cells of the upper bound, and how many documents of a bucket meet in one block
+CELLS, BLOCK_ROWS = 512, 256
+
+#: bits of the filter for texts that take part in pairs
+BITS = 1 << 24
+
 #: shingles hashed at once
 BLOCK = 1 << 14
 
@@ -101,6 +110,12 @@ def bands(shingles: np.ndarray) -> np.ndarray:
     return (mixed & ~np.uint64(BANDS - 1)) | np.arange(BANDS, dtype=np.uint64)
 
 
+def cells(shingles: np.ndarray) -> bytes:
+    """How many shingles fall into each cell; nothing if a count does not fit a byte."""
+    counts = np.bincount((shingles >> np.uint64(55)).astype(np.int64), minlength=CELLS)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
 def sketch(df: DataFrame, text: str, words: int) -> DataFrame:
     """``n_shingles``, two digests of the set, and the bands (NULL without shingles)."""
 
@@ -136,14 +151,41 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def chosen_texts(rows: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``id, text, n, cells`` of the rows whose id is in ``ids``.
+
+    A bitmap of fixed size keeps most other texts out of the shuffle: the ids set at most
+    ``BITS`` bits, and rows whose bit is not set stop in the task that reads them. The join that
+    follows decides; however full the bitmap, only the amount that is shuffled depends on it.
+    """
+    bit = F.pmod(F.xxhash64("id"), F.lit(BITS))
+    marks = ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+    words_set = marks.agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("bits")).collect()  # BITS / 64 rows at most
+    bitmap = np.zeros(BITS // 64, np.int64)
+    for r in words_set:
+        bitmap[r["word"]] = r["bits"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for batch in batches:
+            at = np.asarray(batch.column(2))
+            hit = np.flatnonzero(bitmap[at >> 6] >> (at & 63) & 1)
+            for begin in range(0, len(hit), SLICE):
+                part = batch.select([0, 1]).take(pa.array(hit[begin : begin + SLICE]))
+                sets = [shingler(t) for t in part.column(1).to_pylist()]
+                sizes, counts = pa.array([len(x) for x in sets], pa.int64()), pa.array([cells(x) if len(x) else b"" for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, sizes, counts], names=["id", "text", "n", "cells"])
+
+    marked = small_batches(rows.where("id IS NOT NULL")).select("id", "text", bit.alias("bit"))
+    found = marked.mapInArrow(run, "id long, text string, n long, cells binary")
+    return found.join(ids, "id", "left_semi")
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of ``pairs (a, b)`` whose full sets are similar. ``texts``: ``id, text``.
 
-    The texts of the ids at hand meet the pairs in two joins; ids with many pairs, the leaders, come
-    in the second, where Spark splits large partitions.
+    Ids with many pairs, the leaders, come in the second join, where Spark splits large partitions.
     """
-    asked = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = materialize(texts.join(asked, "id", "left_semi"), "texts")
     ready = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(
         texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a"
     )
@@ -163,7 +205,79 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 yield part.select([0, 1]).take(pa.array(keep, pa.int64()))
 
     schema = StructType([StructField("a", pairs.schema["a"].dataType), StructField("b", pairs.schema["b"].dataType)])
-    return ready.select("a", "b", "text_a", "text_b").mapInArrow(run, schema)
+    return small_batches(ready).select("a", "b", "text_a", "text_b").mapInArrow(run, schema)
+
+
+def possible(rows: list[np.ndarray], columns: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs of different components that may be similar, as numbers of a row and a column.
+
+    Both lists hold component, size, whether the cells are known, and cells.
+    """
+    (comp_a, n_a, known_a, cells_a), (comp_b, n_b, known_b, cells_b) = rows, columns
+    for i in range(len(n_a)):
+        fits = (comp_b != comp_a[i]) & (100 * np.minimum(n_b, n_a[i]) >= percent * np.maximum(n_b, n_a[i]))
+        near = np.flatnonzero(fits)
+        if len(near):
+            most = np.minimum(cells_b[near], cells_a[i]).sum(1, dtype=np.int64)
+            most = np.where(known_b[near] & known_a[i], most, np.minimum(n_b[near], n_a[i]))
+            for j in near[100 * most >= percent * (n_b[near] + n_a[i] - most)]:
+                yield i, int(j)
+
+
+def open_pairs(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: what shares a bucket, is in different components and may be similar.
+
+    ``placed``: ``bucket, id, component``; ``texts``: ``id, n, cells``. In each bucket the members outside its largest
+    component meet all members, in blocks; tasks read blocks one after another.
+    """
+    counts = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    shape = counts.groupBy("bucket").agg(
+        F.sum("size").alias("members"), F.max("size").alias("most"), F.count("*").alias("kinds"), F.max(F.struct("size", "component")).alias("bulk")
+    )
+    blocks = lambda c: F.ceil(c / F.lit(BLOCK_ROWS)).cast("int")
+    shape = shape.where("kinds > 1").select(
+        "bucket", F.col("bulk.component").alias("bulk"), blocks(F.col("members")).alias("all"), blocks(F.col("members") - F.col("most")).alias("out")
+    )
+    there = placed.join(shape, "bucket").join(texts.select("id", "n", "cells"), "id")
+
+    def dealt(side: int, own: str, other: str, rows: DataFrame) -> DataFrame:
+        mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
+        at = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return rows.withColumn("mine", mine).withColumn("at", at).select(
+            "bucket", *([F.col("mine").alias("r"), F.col("at").alias("c")] if side == 0 else [F.col("at").alias("r"), F.col("mine").alias("c")]),
+            F.lit(side).alias("side"), "id", "n", "component", "cells",
+        )
+
+    both = dealt(0, "out", "all", there.where("component <> bulk")).unionByName(dealt(1, "all", "out", there))
+    both = both.repartition("bucket", "r", "c").sortWithinPartitions("bucket", "r", "c")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def compare(block: pa.Table) -> pa.RecordBatch:
+            block = block.combine_chunks()
+            side, ids = np.asarray(block["side"]), np.asarray(block["id"])
+            raw = block["cells"].to_pylist()
+            known = np.array([len(c) == CELLS for c in raw])
+            table = np.frombuffer(b"".join(c if len(c) == CELLS else bytes(CELLS) for c in raw), np.uint8).reshape(-1, CELLS)
+            parts = [np.flatnonzero(side == s) for s in (0, 1)]
+            values = [np.asarray(block["component"]), np.asarray(block["n"]), known, table]
+            found = list(possible(*[[v[p] for v in values] for p in parts], percent))
+            a, b = ids[parts[0][[i for i, _ in found]]], ids[parts[1][[j for _, j in found]]]
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        for batch in batches:
+            keys = np.stack([np.asarray(batch.column(i)) for i in range(3)], 1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+            for begin, end in zip(cuts, cuts[1:]):
+                if held and end > begin and [held[0].column(i)[0].as_py() for i in range(3)] != keys[begin].tolist():
+                    yield compare(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(begin, end - begin))
+        if held:
+            yield compare(pa.Table.from_batches(held))
+
+    return small_batches(both).mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -172,8 +286,8 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
     Documents are linked if 100 * intersection >= ``percent`` * union of their sets of distinct
     ``words``-word shingles; components are what links connect; the smallest key names a component
     and is kept. A text without words (or NULL) is linked with nothing. A row whose key is NULL is
-    linked with nothing, has no component and is kept. Rows with the same key are one document with
-    several texts. Extra columns are not carried. Keys are whole numbers. An empty table gives an
+    linked with nothing, has no component and is kept. Of rows that repeat a key each is placed
+    by its own text; texts that share their smallest key are one component. Extra columns are not carried. Keys are whole numbers. An empty table gives an
     empty result.
     """
     rows = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
@@ -184,7 +298,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
     classes = materialize(part.groupBy(*same).agg(F.min("id").alias("rep")), "classes")
     nodes = part.join(classes.select(F.col("rep").alias("id"), *same), ["id", *same], "left_semi")
     mask = F.element_at(F.array(*[F.lit(m) for m in MASKS]), (F.pmod("bucket", F.lit(len(MASKS))) + 1).cast("int"))
-    members = nodes.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")).distinct()
+    members = nodes.select("id", F.explode("bands").alias("bucket"))
     lead = members.groupBy("bucket").agg(F.min(F.col("id").bitwiseXOR(mask)).alias("least"), F.count("*").alias("size")).where("size > 1")
     crowded = members.join(lead.withColumn("leader", F.col("least").bitwiseXOR(mask)).select("bucket", "leader"), "bucket")
     crowded = materialize(crowded, "buckets")
@@ -193,20 +307,15 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, key: str =
         return found.select(F.col(x).alias("a"), F.col(y).alias("b")).distinct()
 
     led = materialize(pairs_of("leader", "id", crowded.where("id <> leader")), "pairs")
-    links = materialize(confirmed(led, rows, words, percent), "links")
+    texts = materialize(chosen_texts(rows, crowded.select("id").distinct(), words), "texts")
+    links = materialize(confirmed(led, texts, words, percent), "links")
 
     # documents of one bucket that the leaders did not bring together
-    placed = crowded.join(components(links), "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_ = materialize(placed.join(mixed.select("bucket"), "bucket"), "open")
-    other = open_.select("bucket", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-    across = open_.join(other, "bucket").where(
-        (F.col("component") < F.col("component2"))
-        & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
-    )
-    rest = pairs_of("id", "id2", across)
-    rest = rest.join(led, ["a", "b"], "left_anti").join(led.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    more = confirmed(materialize(rest, "pairs"), rows, words, percent)
+    placed = crowded.join(components(links), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    rest = open_pairs(materialize(placed, "placed"), texts, percent)
+    asked = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = rest.join(asked, ["a", "b"], "left_anti")
+    more = confirmed(materialize(rest, "pairs"), texts, words, percent)
     joined = components(links.unionByName(more))
 
     named = classes.join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left")
