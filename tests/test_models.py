@@ -112,3 +112,41 @@ def test_unknown_preset_counts_as_clear(spark):
     got = {r["preset"]: r["wind_gusts_10m"] for r in scoring.with_preset(df).collect()}
     assert got == {"storm": 85.0, "fog": 18.0}
     assert scoring.preset_table(spark).filter(F.col("is_raining") == 1).count() == 2
+
+
+def test_any_number_of_lags(spark):
+    rng = np.random.default_rng(3)
+    y = np.zeros(400)
+    for t in range(3, 400):
+        y[t] = 0.4 * y[t - 1] - 0.3 * y[t - 2] + 0.25 * y[t - 3] + rng.normal()
+    df = spark.createDataFrame([(0, i, len(y), float(v)) for i, v in enumerate(y)], "entity int, pos long, n_steps int, y double")
+    r = arx.fit(df, "y", [], (3, 0)).first()
+    beta = np.linalg.lstsq(design(y, 3, True, np.empty((len(y), 0)), 8), y[8:], rcond=None)[0]
+    np.testing.assert_allclose(r["coefficients"], beta, rtol=1e-6, atol=1e-8)
+    with pytest.raises(ValueError):
+        arx.fit_orders(arx.product_sums(df, "y", [], 7, 2), 0, [(3, 0, True)], True, 2)
+
+
+def test_large_level_and_small_spread(spark):
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=300), np.zeros(300)
+    for t in range(1, 300):
+        y[t] = 0.5 * y[t - 1] + 0.7 * x[t] + rng.normal(scale=0.3)
+    fits = []
+    for level in (0.0, 1e6):
+        rows = [(0, i, 300, float(v) + level, float(a)) for i, (v, a) in enumerate(zip(y, x))]
+        df = spark.createDataFrame(rows, "entity int, pos long, n_steps int, y double, a double")
+        fits.append(arx.fit(df, "y", ["a"]).first())
+    np.testing.assert_allclose(fits[1]["coefficients"][1:], fits[0]["coefficients"][1:], rtol=1e-5, atol=1e-7)
+    assert abs(fits[1]["sse"] / fits[0]["sse"] - 1) < 1e-5
+
+
+@pytest.mark.parametrize("kind", ["boosted", "perceptron"])
+def test_class_models_score_rows_without_a_class(spark, kind):
+    rows = [(float(i % 9), float(i % 4), ("Low", "Medium", "High")[i % 9 // 3]) for i in range(180)]
+    train = spark.createDataFrame([*rows, (1.0, 1.0, None)], "a double, b double, congestion_class string")
+    stages = models.boosted_classifier(rounds=3, depth=2, leaf=1) if kind == "boosted" else models.perceptron(2, (4,), 100)
+    model = models.fit(models.labelled(train), ["a", "b"], stages, kind == "perceptron")
+    new = spark.createDataFrame([(0.0, 1.0, None), (8.0, 1.0, "Low"), (4.0, None, "other")], "a double, b double, congestion_class string")
+    out = [r["congestion_pred"] for r in model.transform(new).collect()]
+    assert len(out) == 3 and set(out) <= {"Low", "Medium", "High"} and out[0] == "Low"

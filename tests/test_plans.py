@@ -43,3 +43,18 @@ def test_range_filters_reach_the_scan(spark):
     text = plan(QUERIES["date_range_filter"](spark, ROOT))
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in text
+
+
+def test_raw_rows_are_not_sorted_for_the_first_of_a_key(spark):
+    """Between the scan of the raw rows and the broadcast filter there is no sort and no exchange."""
+    text = plan(QUERIES["dedupe_first"](spark, ROOT))
+    below = text[text.index("BroadcastHashJoin") :]
+    raw = [line for line in below.splitlines() if "lineitem.parquet" in line]
+    assert len(raw) == 1
+    upto = below[: below.index(raw[0])]
+    assert "Sort" not in upto and "Exchange hashpartitioning" not in upto
+
+
+def test_weather_and_panel_are_scanned_once_or_twice(spark):
+    text = plan(QUERIES["chrono_split"](spark, ROOT))
+    assert text.count("weather-daily-") == 1 and text.count("daily-counts-") <= 4

@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepanel.catalog.registry import query
+from tidepanel.catalog.registry import FEATURES, query
 from tidepanel.catalog.series import r9, stored_table
 from tidepanel.catalog.target import CLASS_COLUMNS, daily_scored, hourly_scored
 from tidepanel.operators import baselines, evaluate, profiles, windows
+from tidepanel.plans.model_table import feature_columns
 
 
 def pairs(spark, root):
@@ -356,46 +357,47 @@ def forecast_interval(spark, root):
     return out.select("entity", "dt", "predicted", *r9("low", "high"))
 
 
-DEEP = ("total_movements", "departures", "arrivals", "acps_lag_1d", "acps_rmean_7d")
+#: a feature that the ranking is not told about, so that the rule for unknown ones shows
+UNRANKED = "quarter"
 
 
 @query(
     "feature_deviation",
-    " UNION ALL ".join(
-        f"""SELECT d.entity, dt, '{c}' AS feature, round(CAST({c} AS DOUBLE), 9) AS value,
-        round(({c} - m) / CASE WHEN s > 1e-9 THEN s ELSE 1 END, 9) AS z_score,
-        round(100 * greatest(0, least(1, ({c} - lo) / greatest(hi - lo, 1e-9::DOUBLE))), 9) AS position
-        FROM dsplit d JOIN (SELECT entity, avg({c}) AS m, stddev_samp({c}) AS s, min({c}) AS lo, max({c}) AS hi
-             FROM dsplit WHERE split = 'train' GROUP BY 1) t ON t.entity = d.entity WHERE split = 'test'"""
-        for c in DEEP
-    ),
-    "dsplit",
+    """SELECT d.entity, dt, feature, round(value, 9) AS value, round((value - m) / CASE WHEN s > 1e-9 THEN s ELSE 1 END, 6) AS z_score,
+        round(100 * greatest(0, least(1, (value - lo) / greatest(hi - lo, 1e-9::DOUBLE))), 6) AS position
+        FROM dlong d JOIN (SELECT entity, feature, avg(value) AS m, stddev_samp(value) AS s, min(value) AS lo, max(value) AS hi
+             FROM dlong WHERE split = 'train' GROUP BY 1, 2) t USING (entity, feature) WHERE split = 'test'""",
+    "dlong",
 )
 def feature_deviation(spark, root):
     table = stored_table(spark, root)
-    stats = profiles.feature_stats(table.filter("split = 'train'"), DEEP)
-    out = evaluate.feature_deviation(table.filter("split = 'test'"), stats, DEEP, ["entity", "dt"])
-    return out.select("entity", "dt", "feature", *r9("value", "z_score", "position"))
+    features = feature_columns(table)
+    stats = profiles.feature_stats(table.filter("split = 'train'"), features)
+    out = evaluate.feature_deviation(table.filter("split = 'test'"), stats, features, ["entity", "dt"])
+    return out.select(
+        "entity", "dt", "feature", *r9("value"), F.round("z_score", 6).alias("z_score"), F.round("position", 6).alias("position")
+    )
 
 
 @query(
     "rank_lookup",
-    "WITH c AS ("
-    + " UNION ALL ".join(f"SELECT '{c}' AS feature, abs(corr({c}, acps)) AS r FROM dsplit WHERE split = 'train'" for c in DEEP[:3])
-    + """) SELECT s.feature, s.n, round(coalesce(r, 0), 9) AS importance FROM ("""
-    + " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS n FROM dsplit WHERE split = 'test'" for c in DEEP)
-    + ") s LEFT JOIN c ON c.feature = s.feature",
-    "dsplit",
+    f"""WITH c AS (SELECT feature, abs(corr(value, acps)) AS r FROM dlong WHERE split = 'train' AND feature <> '{UNRANKED}' GROUP BY 1),
+       s AS (SELECT feature, count(*) AS n FROM dlong WHERE split = 'test' GROUP BY 1),
+       f(feature) AS (SELECT unnest([{", ".join(f"'{c}'" for c in FEATURES)}]))
+       SELECT f.feature, coalesce(n, 0) AS n, round(CASE WHEN isfinite(r) THEN r ELSE 0 END, 9) AS importance
+       FROM f LEFT JOIN s USING (feature) LEFT JOIN c USING (feature)""",
+    "dlong",
 )
 def rank_lookup(spark, root):
     """Features of the test rows ranked by training correlation; 0 for those without one."""
     table = stored_table(spark, root)
     train = table.filter("split = 'train'")
-    importance = profiles.target_correlation(train, "acps", DEEP[:3], ()).select(
+    features = feature_columns(table)
+    importance = profiles.target_correlation(train, "acps", [c for c in features if c != UNRANKED], ()).select(
         "feature", F.col("abs_correlation").alias("importance")
     )
     cells = F.array(
-        *[F.struct(F.lit(c).alias("feature"), F.count(c).alias("n")) for c in DEEP]
+        *[F.struct(F.lit(c).alias("feature"), F.count(c).alias("n")) for c in features]
     )
     items = table.filter("split = 'test'").agg(cells.alias("_c")).select(F.inline("_c"))
     return evaluate.importance_rank(items, importance).select("feature", "n", *r9("importance"))

@@ -11,6 +11,7 @@ from tidepanel.catalog.registry import query
 from tidepanel.catalog.series import stored_table
 from tidepanel.operators import arx, baselines, evaluate, models, stats
 from tidepanel.operators.profiles import crosstab_margins
+from tidepanel.config import DEFAULTS
 from tidepanel.plans.model_table import feature_columns
 from tidepanel.session import materialize, new_path
 
@@ -39,7 +40,7 @@ def _classify(spark, root, stages_of, scale=False):
     table = stored_table(spark, root)
     train, held_out = splits(table)
     features = feature_columns(table)
-    model = models.fit(train, features, stages_of(len(features)), scale)
+    model = models.fit(models.labelled(train), features, stages_of(len(features)), scale)
     predicted = model.transform(models.as_doubles(held_out, features))
     return evaluate.classification_metrics(
         predicted, "congestion_class", "congestion_pred", ["split"]
@@ -53,7 +54,7 @@ def gbt_regress(spark, root):
 
 @query("rf_regress")
 def rf_regress(spark, root):
-    return _regress(spark, root, models.forest_regressor(trees=50, depth=10))
+    return _regress(spark, root, models.forest_regressor())
 
 
 @query("linear_regress")
@@ -63,12 +64,12 @@ def linear_regress(spark, root):
 
 @query("gbt_classify")
 def gbt_classify(spark, root):
-    return _classify(spark, root, lambda n: models.boosted_classifier(rounds=20, depth=3, leaf=2))
+    return _classify(spark, root, lambda n: models.boosted_classifier(**LIGHT))
 
 
 @query("mlp_classify")
 def mlp_classify(spark, root):
-    return _classify(spark, root, lambda n: models.perceptron(n, rounds=100), scale=True)
+    return _classify(spark, root, models.perceptron, scale=True)
 
 
 @query("permutation_importance")
@@ -76,7 +77,7 @@ def permutation_importance(spark, root):
     """Mean drop in R2 of every feature on the test rows, ten repeats."""
     table = stored_table(spark, root)
     features = feature_columns(table)
-    model = models.fit(table.filter("split = 'train'"), features, [models.boosted_regressor(rounds=20, depth=3)])
+    model = models.fit(table.filter("split = 'train'"), features, [models.boosted_regressor(**LIGHT)])
     return models.permutation_importance(model, table.filter("split = 'test'"), features, "dt")
 
 
@@ -126,7 +127,7 @@ def kmeans_assign(spark, root):
 @query("kmeans_elbow")
 def kmeans_elbow(spark, root):
     vectors = _vectors(spark, root)
-    rows = [(k, models.best_kmeans(vectors, k, starts=3)[1]) for k in range(2, 8)]
+    rows = [(k, models.best_kmeans(vectors, k)[1]) for k in range(2, 8)]
     return spark.createDataFrame(rows, "k int, inertia double")
 
 
@@ -149,7 +150,7 @@ EXOG = ("temperature_2m", "wind_speed_10m", "precipitation")
 def _train_series(table):
     """Training rows as a gap-free series from 0."""
     return table.filter("split = 'train'").withColumns(
-        {"pos": F.col("row_index"), "n_steps": F.floor(F.col("n_rows") * F.lit(0.70))}
+        {"pos": F.col("row_index"), "n_steps": F.floor(F.col("n_rows") * F.lit(DEFAULTS.train_share))}
     )
 
 
@@ -160,11 +161,11 @@ def arx_fit(spark, root):
 
 @query("arx_forecast")
 def arx_forecast(spark, root):
-    """The first 28 validation days of each entity, forecast from the training rows."""
+    """Every day of each entity after the training rows, forecast from those."""
     table = stored_table(spark, root)
     train = _train_series(table)
-    step = (F.col("row_index") - F.floor(F.col("n_rows") * F.lit(0.70)) + 1).cast("int")
-    future = table.withColumn("step", step).filter(F.col("step").between(1, 28))
+    step = (F.col("row_index") - F.floor(F.col("n_rows") * F.lit(DEFAULTS.train_share)) + 1).cast("int")
+    future = table.withColumn("step", step).filter("step >= 1")
     out = arx.forecast(arx.fit(train, "acps", EXOG), train, future, "acps", EXOG)
     return out.join(future.select("entity", "step", "dt", "acps"), ["entity", "step"]).select(
         "entity", "step", "dt", "acps", "forecast"
@@ -192,7 +193,7 @@ def forecast_end_to_end(spark, root):
     features = feature_columns(table)
     rows = models.as_doubles(test, features)
     fitted = {
-        "boosted_trees": models.fit(train, features, [models.boosted_regressor(rounds=50, depth=3, leaf=2)]),
+        "boosted_trees": models.fit(train, features, [models.boosted_regressor(**LIGHT)]),
         "linear": models.fit(train, features, [models.linear_regressor()]),
     }
     parts = [

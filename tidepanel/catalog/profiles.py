@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepanel.catalog.registry import query
-from tidepanel.catalog.series import daily_table, r9, stored_table
+from tidepanel.catalog.registry import LAGGED, ROLLED, WEATHER, query
+from tidepanel.catalog.series import r9, stored_table
 from tidepanel.catalog.target import daily_scored
 from tidepanel.operators import profiles, quality, stats, windows
+from tidepanel.plans.model_table import feature_columns
 from tidepanel.session import materialize
 from tidepanel.sources import bindings
 
@@ -54,35 +55,38 @@ def weekly_bins(spark, root):
     )
 
 
-CORR = (
-    "arrivals", "departures", "total_movements", "acps_lag_1d", "acps_lag_7d", "movements_lag_1d",
-    "movements_lag_7d", "acps_lag_28d", "acps_rmean_7d", "acps_rmean_14d", "acps_rmean_28d",
-    "movements_rmean_7d", "movements_rmean_14d", "movements_rmean_28d", "acps_rstd_28d",
-    "movements_yoy_change", "acps_lag_2d", "acps_lag_3d", "acps_lag_14d", "movements_lag_14d",
-    "acps_lag_365d", "movements_lag_365d",
-)
+CORRELATED = """WITH long AS (SELECT entity, feature, corr(value, acps) AS r FROM dlong GROUP BY 1, 2),
+    known AS (SELECT entity, feature, round(CASE WHEN isfinite(r) THEN r END, 9) AS correlation FROM long)"""
 
 
 @query(
     "target_correlation",
-    "WITH long AS ("
-    + " UNION ALL ".join(
-        f"SELECT entity, '{c}' AS feature, corr({c}, acps) AS correlation FROM dkept GROUP BY 1" for c in CORR
-    )
-    + """) SELECT entity, feature, round(correlation, 9) AS correlation, round(abs(correlation), 9) AS abs_correlation
-    FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY round(abs(correlation), 9) DESC, feature) AS rank FROM long)
+    f"""{CORRELATED} SELECT entity, feature, correlation, abs(correlation) AS abs_correlation
+    FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY abs(correlation) DESC NULLS LAST, feature) AS rank FROM known)
     WHERE rank <= 20""",
-    "dkept",
+    "dlong",
 )
 def target_correlation(spark, root):
     """Top 20 features per entity by absolute correlation with the score."""
-    out = profiles.target_correlation(daily_table(spark, root), "acps", CORR)
+    table = stored_table(spark, root)
+    out = profiles.target_correlation(table, "acps", feature_columns(table))
     best = profiles.top_per_key(
         out, ["entity"], [F.round("abs_correlation", 9).desc(), F.asc("feature")], 20
     )
     return best.select("entity", "feature", *r9("correlation", "abs_correlation"))
 
 
+@query(
+    "weather_correlation",
+    f"""{CORRELATED} SELECT entity, feature, correlation FROM known WHERE feature IN ({", ".join(f"'{c}'" for c in WEATHER)})""",
+    "dlong",
+)
+def weather_correlation(spark, root):
+    """Signed correlation of every weather feature with the score."""
+    out = profiles.target_correlation(stored_table(spark, root), "acps", WEATHER)
+    return out.select("entity", "feature", *r9("correlation"))
+
+
 @query(
     "autocorrelation",
     " UNION ALL ".join(
@@ -146,23 +150,17 @@ def describe(spark, root):
     return out.select("entity", "column", "n", *moments, *r9(*DESCRIBE[2:]))
 
 
-FEATURES = ("total_movements", "departures", "arrivals", "acps_lag_1d", "acps_lag_7d", "acps_rmean_7d")
-
-
 @query(
     "feature_stats",
-    " UNION ALL ".join(
-        f"""SELECT entity, '{c}' AS feature, round(avg({c}), 9) AS mean, round(stddev_samp({c}), 9) AS std,
-        round(CAST(min({c}) AS DOUBLE), 9) AS min, round(CAST(max({c}) AS DOUBLE), 9) AS max,
-        round(quantile_cont(CAST({c} AS DOUBLE), 0.1), 9) AS p10, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 9) AS p50,
-        round(quantile_cont(CAST({c} AS DOUBLE), 0.9), 9) AS p90 FROM dsplit WHERE split = 'train' GROUP BY 1"""
-        for c in FEATURES
-    ),
-    "dsplit",
+    """SELECT entity, feature, round(avg(value), 9) AS mean, round(stddev_samp(value), 9) AS std,
+        round(min(value), 9) AS min, round(max(value), 9) AS max, round(quantile_cont(value, 0.1), 9) AS p10,
+        round(quantile_cont(value, 0.5), 9) AS p50, round(quantile_cont(value, 0.9), 9) AS p90
+        FROM dlong WHERE split = 'train' GROUP BY 1, 2""",
+    "dlong",
 )
 def feature_stats(spark, root):
     train = stored_table(spark, root).filter("split = 'train'")
-    return profiles.feature_stats(train, FEATURES).select(
+    return profiles.feature_stats(train, feature_columns(train)).select(
         "entity", "feature", *r9("mean", "std", "min", "max", "p10", "p50", "p90")
     )
 
@@ -288,7 +286,7 @@ def dq_coverage(spark, root):
     return quality.coverage(bindings.hourly_raw(spark, root), "ts_hour", ["entity"])
 
 
-NULLABLE = ("acps_lag_1d", "acps_lag_28d", "acps_lag_365d", "acps_rmean_7d", "acps_rstd_28d", "movements_yoy_change")
+NULLABLE = (*LAGGED, *ROLLED, "movements_yoy_change")
 
 
 @query(
@@ -302,7 +300,7 @@ NULLABLE = ("acps_lag_1d", "acps_lag_28d", "acps_lag_365d", "acps_rmean_7d", "ac
 )
 def dq_nulls(spark, root):
     featured = windows.daily_window_features(daily_scored(spark, root))
-    return quality.null_counts(featured.select(*NULLABLE))
+    return quality.null_counts(featured)
 
 
 @query(

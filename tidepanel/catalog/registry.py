@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidepanel.config import HOLIDAYS
+from tidepanel.functions.weather import SEVERE_CODE
 from tidepanel.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +90,19 @@ HOURLY_ROLL_SQL = ", ".join(
     + [rolling("acps", "acps", 24, "h", "stddev_samp", "rstd")]
 )
 
+LAGGED = tuple(f"{label}_lag_{n}d" for n in (1, 2, 3, 7, 14, 28, 365) for label in ("acps", "movements"))
+ROLLED = tuple(f"{label}_rmean_{n}d" for n in (7, 14, 28) for label in ("acps", "movements")) + ("acps_rstd_28d",)
+WEATHER = (
+    "temperature_2m", "relative_humidity_2m", "precipitation", "surface_pressure", "wind_speed_10m", "wind_speed_max",
+    "wind_direction_10m", "wind_gusts_10m", "cloud_cover", "wind_dir_sin", "wind_dir_cos", "is_severe_weather", "is_raining",
+)
+# every feature of the daily model table
+FEATURES = (
+    "dow", "total_movements", "arrivals", "departures", "is_weekend", "month", "quarter", "dow_sin", "dow_cos", "month_sin",
+    "month_cos", "doy_sin", "doy_cos", "is_holiday", "is_pre_holiday", "is_post_holiday", "is_bridge_day", *WEATHER,
+    "arr_dep_imbalance", *LAGGED, *ROLLED, "movements_yoy_change",
+)
+
 # name -> (parts needed, body)
 PARTS: dict[str, tuple[str, str]] = {
     "placed": (
@@ -285,6 +299,31 @@ PARTS: dict[str, tuple[str, str]] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY dt) - 1 AS i,
                      count(*) OVER (PARTITION BY entity) AS n FROM dkept)""",
     ),
+    # the daily model table with all its feature columns
+    "dfull": (
+        "dsplit flags wxd",
+        """SELECT s.*, CAST(isodow(s.dt) >= 6 AS INTEGER) AS is_weekend, CAST(month(s.dt) AS INTEGER) AS month,
+            CAST(quarter(s.dt) AS INTEGER) AS quarter,
+            sin(s.dow * 2 * pi() / 7) AS dow_sin, cos(s.dow * 2 * pi() / 7) AS dow_cos,
+            sin((month(s.dt) - 1) * 2 * pi() / 12) AS month_sin, cos((month(s.dt) - 1) * 2 * pi() / 12) AS month_cos,
+            sin(dayofyear(s.dt) * 2 * pi() / 365.25::DOUBLE) AS doy_sin, cos(dayofyear(s.dt) * 2 * pi() / 365.25::DOUBLE) AS doy_cos,
+            f.is_holiday, f.is_pre_holiday, f.is_post_holiday, f.is_bridge_day,
+            w.temperature_2m, w.relative_humidity_2m, w.precipitation, w.surface_pressure, w.wind_speed_10m, w.wind_speed_max,
+            w.wind_direction_10m, w.wind_gusts_10m, w.cloud_cover,
+            sin(radians(w.wind_direction_10m)) AS wind_dir_sin, cos(radians(w.wind_direction_10m)) AS wind_dir_cos,
+            CASE WHEN w.dt IS NOT NULL THEN CAST(coalesce(w.weather_code_max >= SEVERE, false) AS INTEGER) END AS is_severe_weather,
+            CASE WHEN w.dt IS NOT NULL THEN CAST(coalesce(w.rain_total > 0, false) AS INTEGER) END AS is_raining,
+            (s.arrivals - s.departures) / greatest(1, s.arrivals + s.departures) AS arr_dep_imbalance
+        FROM dsplit s JOIN flags f ON f.entity = s.entity AND f.dt = s.dt LEFT JOIN wxd w ON w.dt = s.dt""".replace(
+            "SEVERE", str(SEVERE_CODE)
+        ),
+    ),
+    "dlong": (
+        "dfull",
+        f"""SELECT entity, dt, split, acps, feature, value FROM (
+            UNPIVOT (SELECT entity, dt, split, acps, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES)} FROM dfull)
+            ON {", ".join(FEATURES)} INTO NAME feature VALUE value)""",
+    ),
     # panel rows with their split taken on the whole panel, hourly and daily
     "hsplit": (
         "ah",

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepanel.catalog.models import splits
-from tidepanel.catalog.registry import query
+from tidepanel.catalog.models import LIGHT, splits
+from tidepanel.catalog.registry import WEATHER, query
 from tidepanel.catalog.series import r9, stored_table
 from tidepanel.catalog.target import daily_scored
 from tidepanel.config import WEATHER_FIELDS, WEATHER_PRESETS
 from tidepanel.operators import evaluate, lookups, models, scoring
-from tidepanel.operators.target import fixed_class
+from tidepanel.operators.target import DAILY_PHASE, attach_score, fixed_class, with_phase
 from tidepanel.plans.model_table import feature_columns
 from tidepanel.session import materialize
 from tidepanel.sources import bindings
@@ -71,12 +71,16 @@ def _features_sql() -> str:
         f"coalesce(xa_{k}, l.acps) AS acps_lag_{k}d, CAST(coalesce(xm_{k}, l.total_movements) AS DOUBLE) AS movements_lag_{k}d"
         for k in LAGS
     )
-    rounded = ", ".join(f"round({c}_rmean_{n}d, 9) AS {c}_rmean_{n}d" for n in (7, 14, 28) for c in ("acps", "movements"))
+    rounded = ", ".join(
+        f"round({c}_rmean_{n}d, 9) AS {c}_rmean_{n}d" for n in (7, 14, 28) for c in ("acps", "movements") if (c, n) != ("acps", 7)
+    )
+    rounded += ", round(CASE WHEN s.dt - last_dt > 1 THEN week ELSE acps_rmean_7d END, 9) AS acps_rmean_7d"
     return f"""WITH s AS ({SCENARIOS}),
      a AS (SELECT DISTINCT entity, dt FROM s),
-     t30 AS (SELECT entity, dt, acps, total_movements, avg(acps) OVER w AS ta, avg(total_movements) OVER w AS tm FROM ad
+     t30 AS (SELECT entity, dt, acps, total_movements, avg(acps) OVER w AS ta, avg(total_movements) OVER w AS tm,
+               avg(acps) OVER (PARTITION BY entity ORDER BY pos ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS week FROM ad
              WINDOW w AS (PARTITION BY entity ORDER BY pos ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)),
-     l AS (SELECT a.entity, a.dt, t.acps, t.total_movements, ta, tm FROM a ASOF LEFT JOIN t30 t ON t.entity = a.entity AND a.dt > t.dt),
+     l AS (SELECT a.entity, a.dt, t.acps, t.total_movements, ta, tm, week, t.dt AS last_dt FROM a ASOF LEFT JOIN t30 t ON t.entity = a.entity AND a.dt > t.dt),
      x AS (SELECT a.entity, a.dt, {exact}, {means},
              coalesce(stddev_samp(acps) FILTER (h.dt >= a.dt - 28 AND h.dt < a.dt), 0) AS acps_rstd_28d
            FROM a LEFT JOIN ad h ON h.entity = a.entity AND h.dt >= a.dt - 365 AND h.dt < a.dt GROUP BY 1, 2)
@@ -103,14 +107,16 @@ def scenario_features(spark, root):
 
 
 def _fitted(spark, root):
-    """A model on the columns a scenario can have, with the rows it was learnt from."""
-    table = stored_table(spark, root)
+    """A model on the columns a scenario can have, with the rows it was learnt from and the scored
+    history; all from one stored panel."""
+    panel = materialize(bindings.daily_panel(spark, root), "panel")
+    table = stored_table(spark, root, panel)
     known = {*WEATHER_FIELDS, "wind_direction_10m", "wind_dir_sin", "wind_dir_cos"}
-    weather = {c for c in feature_columns(table) if c.startswith(("temp", "rel", "prec", "surf", "wind", "cloud", "is_sev", "is_rain"))}
-    features = [c for c in feature_columns(table) if c not in weather or c in known]
+    features = [c for c in feature_columns(table) if c not in WEATHER or c in known]
     train, _ = splits(table)
-    model = models.fit(train, features, [models.boosted_regressor(rounds=20, depth=4)])
-    return table, features, model
+    model = models.fit(train, features, [models.boosted_regressor(**LIGHT)])
+    history = materialize(attach_score(with_phase(panel, "dt"), DAILY_PHASE, ("acps",)), "history")
+    return table, features, model, history
 
 
 def _predict(model, features, rows):
@@ -121,13 +127,12 @@ def _predict(model, features, rows):
 @query("scenario_score")
 def scenario_score(spark, root):
     """Scores one and three days out with the change against the last actual score."""
-    table, features, model = _fitted(spark, root)
+    _, features, model, history = _fitted(spark, root)
     asked = scenarios(spark, root)
     ahead = asked.select(
         "scenario_id", "entity", F.col("dt").alias("asked_dt"), "total_movements", "preset",
         F.explode(F.array(F.lit(1), F.lit(3))).alias("horizon"),
     ).withColumn("dt", F.date_add("asked_dt", F.col("horizon") - 1))
-    history = materialize(daily_scored(spark, root), "history")
     rows = scoring.scenario_features(ahead, history, bindings.holidays(spark, root))
     scored = _predict(model, features, rows).join(
         scoring.last_actual(history).select("entity", "last_acps"), "entity"
@@ -142,8 +147,7 @@ def scenario_score(spark, root):
 @query("forecast_3d")
 def forecast_3d(spark, root):
     """The next three days of every entity: assumed volume, score, class and interval."""
-    table, features, model = _fitted(spark, root)
-    history = materialize(daily_scored(spark, root), "history")
+    table, features, model, history = _fitted(spark, root)
     assumed = lookups.movement_assumption(history, "dt", F.lit("2000-01-01").cast("date"))
     days = scoring.next_days(history, 3).withColumns(
         {"dow": F.weekday("dt"), "month": F.month("dt"), "preset": F.lit("clear")}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepanel.catalog.registry import query
+from tidepanel.catalog.registry import FEATURES, query
 from tidepanel.catalog.target import CLASS_COLUMNS, daily_scored, hourly_scored
 from tidepanel.functions import calendar as cal
 from tidepanel.functions import weather as wx
@@ -392,19 +392,19 @@ def drop_infeasible(spark, root):
     )
 
 
-def daily_table(spark, root):
+def daily_table(spark, root, panel=None):
     """Weather is one row per day; stored, its size is known to the planner, which then
     broadcasts it instead of shuffling the panel by date."""
     return model_table.daily_model_table(
-        bindings.daily_panel(spark, root),
+        bindings.daily_panel(spark, root) if panel is None else panel,
         materialize(wx.daily_weather(bindings.hourly_weather(spark, root)), "weather-daily"),
         bindings.holidays(spark, root),
     )
 
 
-def stored_table(spark, root):
+def stored_table(spark, root, panel=None):
     """The daily model table written once, for queries that read it more than once."""
-    return materialize(daily_table(spark, root), "model-table")
+    return materialize(daily_table(spark, root, panel), "model-table")
 
 
 @query("chrono_split", "SELECT entity, dt, acps, split FROM dsplit", "dsplit")
@@ -568,18 +568,16 @@ def forward_fill(spark, root):
 
 @query(
     "median_impute",
-    """SELECT s.entity, dt, s.split, round(coalesce(acps_lag_365d, m1), 9) AS acps_lag_365d,
-         round(coalesce(movements_yoy_change, m2), 9) AS movements_yoy_change
-       FROM dsplit s JOIN (SELECT entity, split, median(acps_lag_365d) AS m1, median(movements_yoy_change) AS m2
-                           FROM dsplit GROUP BY 1, 2) m ON m.entity = s.entity AND m.split = s.split""",
-    "dsplit",
+    f"""SELECT s.entity, s.dt, s.split, {", ".join(f"round(coalesce(CAST(s.{c} AS DOUBLE), m.{c}), 9) AS {c}" for c in FEATURES)}
+       FROM dfull s JOIN (SELECT entity, split, {", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in FEATURES)}
+                          FROM dfull GROUP BY 1, 2) m ON m.entity = s.entity AND m.split = s.split""",
+    "dfull",
 )
 def median_impute(spark, root):
-    """Medians per entity and split, as learnt on that split."""
-    columns = ("acps_lag_365d", "movements_yoy_change")
-    return stats.median_fill(stored_table(spark, root), ["entity", "split"], columns).select(
-        "entity", "dt", "split", *r9(*columns)
-    )
+    """All features; medians per entity and split, as learnt on that split."""
+    table = stored_table(spark, root)
+    features = model_table.feature_columns(table)
+    return stats.median_fill(table, ["entity", "split"], features).select("entity", "dt", "split", *r9(*features))
 
 
 @query(
@@ -692,9 +690,10 @@ def lookup_fallback(spark, root):
               count(*) FILTER (dt >= DATE '2001-06-01') AS n_hits,
               avg(total_movements) FILTER (dt >= DATE '2001-06-01') AS m FROM dp GROUP BY 1, 2, 3),
        t AS (SELECT entity, avg(total_movements) AS m FROM dp WHERE pos >= n_steps - 30 GROUP BY 1)
-       SELECT g.entity, CAST(dow AS INTEGER) AS dow, CAST(month AS INTEGER) AS month, n_hits,
+       SELECT t.entity, CAST(d AS INTEGER) AS dow, CAST(k AS INTEGER) AS month, coalesce(n_hits, 0) AS n_hits,
               CAST(trunc(CASE WHEN n_hits >= 3 THEN g.m ELSE t.m END) AS INTEGER) AS movements_assumed
-       FROM g JOIN t ON t.entity = g.entity""",
+       FROM t CROSS JOIN range(7) AS days(d) CROSS JOIN range(1, 13) AS months(k)
+       LEFT JOIN g ON g.entity = t.entity AND g.dow = d AND g.month = k""",
     "dp",
 )
 def movement_assumption(spark, root):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidepanel.catalog.registry import query
 from tidepanel.catalog.spatial import _density_sql, rounded_density
 from tidepanel.operators.stats import quantiles
-from tidepanel.session import new_path
+from tidepanel.session import materialize, new_path
 from tidepanel.sources import bindings
 from tidepanel.streaming import live
 
@@ -60,10 +60,13 @@ def stream_dedupe(spark, root):
 
 @query("stream_incremental", "SELECT event_id, event_type, value FROM events")
 def stream_incremental(spark, root):
-    """Two runs on one checkpoint: the second finds nothing new."""
-    out, progress = new_path(spark, "live-new"), new_path(spark, "live-new-progress")
-    for _ in range(2):
-        events = live.event_stream(spark, f"{root}/events.parquet").select("event_id", "event_type", "value")
+    """Half of the events land, a run takes them, the rest lands, and a second run on the same
+    checkpoint takes only that."""
+    landing, out, progress = (new_path(spark, f"live-new{x}") for x in ("-landing", "", "-progress"))
+    source = spark.read.parquet(f"{root}/events.parquet")
+    for half in (0, 1):
+        source.where(F.col("event_id") % 2 == half).write.mode("append").parquet(landing)
+        events = live.event_stream(spark, landing, source.schema).select("event_id", "event_type", "value")
         live.run_available(events, out, progress)
     return spark.read.schema(events.schema).parquet(out)
 
@@ -80,6 +83,7 @@ def stream_classify(spark, root):
     cuts = quantiles(
         bindings.hourly_panel(spark, root), ["entity"], "total_movements", {"p60": 0.6, "p85": 0.85}
     )
+    cuts = materialize(cuts, "cuts")  # stored: a micro-batch reads them and computes nothing again
     hourly = live.hourly_movements(live.event_stream(spark, f"{root}/events.parquet"))
     out = live.classify(hourly, cuts).select("entity", "ts_hour", "total_movements", "live_class")
     return _landed(spark, out, "live-class")

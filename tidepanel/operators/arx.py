@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from tidepanel.operators.blocks import blocked_window
 
-MAX_P = 2
 ORDERS = tuple((p, d, seasonal) for p in (0, 1, 2) for d in (0, 1) for seasonal in (True, False))
 
 FIT_SCHEMA = (
@@ -27,48 +26,49 @@ FIT_SCHEMA = (
 FORECAST_SCHEMA = "entity long, step int, forecast double"
 
 
-def columns_of(exog: Sequence[str]) -> list[str]:
-    return ["_one", "_l1", "_l2", "_ls", *exog, "_y"]
+def columns_of(exog: Sequence[str], max_p: int) -> list[str]:
+    return ["_one", *[f"_l{k}" for k in range(1, max_p + 1)], "_ls", *exog, "_y"]
 
 
-def used(p: int, seasonal: bool, n_exog: int) -> list[int]:
+def used(p: int, seasonal: bool, n_exog: int, max_p: int) -> list[int]:
     """Places of an order's regressors among ``columns_of``."""
-    return [0, *range(1, 1 + p), *([3] if seasonal else []), *range(4, 4 + n_exog)]
+    return [*range(0, 1 + p), *([max_p + 1] if seasonal else []), *range(max_p + 2, max_p + 2 + n_exog)]
 
 
-def product_sums(df: DataFrame, target: str, exog: Sequence[str], period: int) -> DataFrame:
-    """Sums of products per entity, differencing and sample.
+def product_sums(df: DataFrame, target: str, exog: Sequence[str], period: int, max_p: int) -> DataFrame:
+    """One row per entity: ``m<d><sample>``, the sums of products for each differencing and sample,
+    and ``means`` of target and outside columns.
 
-    Sample 1 has the rows with a seasonal lag, sample 0 all rows with the short lags; the
-    rows of a sample are the same for every order.
+    Columns are centred by the entity's means first; sums of large values would lose the digits
+    that tell rows apart. Sample 1 has the rows with a seasonal lag, sample 0 all rows with the
+    short lags; the rows of a sample are the same for every order.
     """
-    lags = {f"_v{k}": (lambda w, k=k: F.lag(target, k).over(w)) for k in (1, 2, 3, period, period + 1)}
-    wide = blocked_window(
-        df.select("entity", "pos", F.col(target).alias(target), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in exog]),
-        ["entity"], "pos", lags, back=period + 1,
+    base = df.select(
+        "entity", "pos", F.col(target).cast("double").alias("_v"),
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in exog],
+    )
+    means = base.groupBy("entity").agg(F.array(F.avg("_v"), *[F.avg(c) for c in exog]).alias("means"))
+    centred = base.join(means, "entity").select(
+        "entity", "pos", (F.col("_v") - F.col("means")[0]).alias("_v"),
+        *[(F.col(c) - F.col("means")[i]).alias(c) for i, c in enumerate(exog, 1)],
     )
-    y = F.col(target)
-    forms = F.array(
-        F.struct(
-            F.lit(0).alias("d"), F.col("_v1").alias("_l1"), F.col("_v2").alias("_l2"),
-            F.col(f"_v{period}").alias("_ls"), y.alias("_y"),
-        ),
-        F.struct(
-            F.lit(1).alias("d"), (F.col("_v1") - F.col("_v2")).alias("_l1"),
-            (F.col("_v2") - F.col("_v3")).alias("_l2"),
-            (F.col(f"_v{period}") - F.col(f"_v{period + 1}")).alias("_ls"), (y - F.col("_v1")).alias("_y"),
-        ),
+    back = sorted({*range(1, max_p + 2), period, period + 1})
+    wide = blocked_window(
+        centred, ["entity"], "pos", {f"_v{k}": (lambda w, k=k: F.lag("_v", k).over(w)) for k in back}, back=max(back)
     )
-    rows = wide.select("entity", "_v3", f"_v{period + 1}", *exog, F.inline(forms)).withColumn("_one", F.lit(1.0))
-    samples = F.when(
-        F.col(f"_v{period + 1}").isNotNull(), F.array(F.lit(0), F.lit(1))
-    ).otherwise(F.array(F.lit(0)))
-    sampled = rows.filter(F.col("_v3").isNotNull()).select("*", F.explode(samples).alias("sample")).fillna(0.0, ["_ls"])
-    names = columns_of(exog)
+    level = {"_one": F.lit(1.0), "_y": F.col("_v"), "_ls": F.col(f"_v{period}"), **{c: F.col(c) for c in exog}}
+    change = {**level, "_y": F.col("_v") - F.col("_v1"), "_ls": F.col(f"_v{period}") - F.col(f"_v{period + 1}")}
+    for k in range(1, max_p + 1):
+        level[f"_l{k}"], change[f"_l{k}"] = F.col(f"_v{k}"), F.col(f"_v{k}") - F.col(f"_v{k + 1}")
+    # rows before the seasonal lag count in sample 0 only, where nothing reads its sums
+    samples = (F.lit(True), F.col(f"_v{period + 1}").isNotNull())
+    pairs = list(combinations_with_replacement(columns_of(exog, max_p), 2))
     sums = [
-        F.sum(F.col(a) * F.col(b)) for a, b in combinations_with_replacement(names, 2)
+        F.array(*[F.sum(F.when(chosen, F.coalesce(form[a] * form[b], F.lit(0.0)))) for a, b in pairs]).alias(f"m{d}{sample}")
+        for d, form in enumerate((level, change))
+        for sample, chosen in enumerate(samples)
     ]
-    return sampled.groupBy("entity", "d", "sample").agg(F.array(*sums).alias("sums"))
+    return wide.filter(F.col(f"_v{max_p + 1}").isNotNull()).groupBy("entity").agg(*sums).join(means, "entity")
 
 
 def _matrix(sums, width: int) -> np.ndarray:
@@ -86,65 +86,69 @@ def _solve(moments: np.ndarray, at: list[int]) -> tuple[np.ndarray, float]:
     return beta, max(float(sse), 0.0)
 
 
+def _uncentred(beta: np.ndarray, p: int, d: int, seasonal: bool, means: Sequence[float]) -> np.ndarray:
+    """Coefficients for columns as they are: only the constant changes."""
+    lags = p + bool(seasonal)
+    outside = beta[1 + lags :] @ np.asarray(means[1:])
+    beta[0] += (0.0 if d else means[0] * (1 - beta[1 : 1 + lags].sum())) - outside
+    return beta
+
+
 def fit_orders(
-    sums: DataFrame, n_exog: int, orders: Sequence[tuple[int, int, bool]], fallback: bool
+    sums: DataFrame, n_exog: int, orders: Sequence[tuple[int, int, bool]], fallback: bool, max_p: int
 ) -> DataFrame:
     """Fit every order of every entity. An order with a seasonal lag whose sample is too
-    short is left out, or fitted without that lag when ``fallback`` is set."""
-    width = 5 + n_exog
-    wide = sums.groupBy("entity").agg(
-        *[
-            F.max(F.when((F.col("d") == d) & (F.col("sample") == s), F.col("sums"))).alias(f"m{d}{s}")
-            for d in (0, 1)
-            for s in (0, 1)
-        ]
-    )
+    short is left out, or fitted without that lag when ``fallback`` is set. An order without a
+    positive error has no likelihood to compare and is left out of a search."""
+    if max(p for p, _, _ in orders) > max_p:
+        raise ValueError(f"an order asks for more than {max_p} lags")
+    width = max_p + 3 + n_exog
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for row in batch.itertuples(index=False):
-                full = any(getattr(row, f"m{d}1") is not None for d in (0, 1))
                 for p, d, seasonal in orders:
                     # one common sample per entity: the seasonal one where it is long enough
-                    moments = None
-                    if full:
-                        m = _matrix(getattr(row, f"m{d}1"), width)
-                        if m[0, 0] > width + 1:
-                            moments = m
-                    if moments is None:
-                        if seasonal and not fallback:
-                            continue
-                        seasonal = False
-                        short = getattr(row, f"m{d}0")
-                        if short is None:
-                            continue
-                        moments = _matrix(short, width)
-                    at = used(p, seasonal, n_exog)
+                    long = getattr(row, f"m{d}1")
+                    if long[0] is not None and np.isfinite(long[0]) and long[0] > width + 1:
+                        moments = _matrix(long, width)
+                    elif seasonal and not fallback:
+                        continue
+                    else:
+                        seasonal, moments = False, _matrix(getattr(row, f"m{d}0"), width)
+                    at = used(p, seasonal, n_exog, max_p)
                     n = int(moments[0, 0])
                     if n <= len(at):
                         continue
                     beta, sse = _solve(moments, at)
-                    aic = n * np.log(max(sse, 1e-300) / n) + 2 * (len(at) + 1)
+                    if sse <= 0 and not fallback:
+                        continue
+                    aic = n * np.log(sse / n) + 2 * (len(at) + 1) if sse > 0 else -np.inf
+                    beta = _uncentred(beta, p, d, seasonal, row.means)
                     out.append((row.entity, p, d, seasonal, n, sse, aic, beta.tolist()))
             yield pd.DataFrame(
                 out, columns=["entity", "p", "d", "seasonal", "n", "sse", "aic", "coefficients"]
             )
 
-    return wide.withColumn("entity", F.col("entity").cast("long")).mapInPandas(solve, FIT_SCHEMA)
+    return sums.withColumn("entity", F.col("entity").cast("long")).mapInPandas(solve, FIT_SCHEMA)
 
 
 def fit(
     df: DataFrame, target: str, exog: Sequence[str], order: tuple[int, int] = (1, 0), period: int = 7
 ) -> DataFrame:
     """One order with its seasonal lag; without it where the series is too short."""
-    sums = product_sums(df, target, exog, period)
-    return fit_orders(sums, len(exog), [(order[0], order[1], True)], fallback=True)
+    max_p = max(order[0], 2)
+    sums = product_sums(df, target, exog, period, max_p)
+    return fit_orders(sums, len(exog), [(order[0], order[1], True)], True, max_p)
 
 
-def search(df: DataFrame, target: str, exog: Sequence[str], period: int = 7) -> tuple[DataFrame, DataFrame]:
+def search(
+    df: DataFrame, target: str, exog: Sequence[str], period: int = 7, orders: Sequence[tuple[int, int, bool]] = ORDERS
+) -> tuple[DataFrame, DataFrame]:
     """All orders with their AIC, and the best order of each entity."""
-    fits = fit_orders(product_sums(df, target, exog, period), len(exog), ORDERS, fallback=False)
+    max_p = max(1, *(p for p, _, _ in orders))
+    fits = fit_orders(product_sums(df, target, exog, period, max_p), len(exog), orders, False, max_p)
     columns = [c for c in fits.columns if c != "entity"]
     best = fits.groupBy("entity").agg(
         F.min_by(F.struct(*columns), F.struct("aic", "p", "d", F.col("seasonal"))).alias("b")
@@ -153,14 +157,16 @@ def search(df: DataFrame, target: str, exog: Sequence[str], period: int = 7) ->
 
 
 def forecast(
-    fits: DataFrame, history: DataFrame, future: DataFrame, target: str, exog: Sequence[str], period: int = 7
+    fits: DataFrame, history: DataFrame, future: DataFrame, target: str, exog: Sequence[str], period: int = 7,
+    keep: int = 12,
 ) -> DataFrame:
     """Steps ahead, each fed by the ones before.
 
-    ``history`` has ``pos`` and ``n_steps``; only its last ``period + 3`` rows are read.
+    ``history`` has ``pos`` and ``n_steps``; only its last ``period + keep`` rows are read, and no order may
+    have more lags than those. The horizon is what ``future`` holds: one list per entity.
     ``future`` has ``entity, step`` from 1 and the outside columns.
     """
-    keep = max(period, MAX_P) + 3
+    keep += period
     tail = (
         history.filter(F.col("n_steps") - F.col("pos") <= keep)
         .groupBy("entity")

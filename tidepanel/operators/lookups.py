@@ -127,7 +127,8 @@ def movement_assumption(
     panel: DataFrame, date: str, cutoff: Column, at_least: int = 3, tail: int = 30
 ) -> DataFrame:
     """Assumed movements per entity, day of week and month: the truncated mean since
-    ``cutoff`` when there are enough rows, else that of the last rows of the series."""
+    ``cutoff`` when there are enough rows, else that of the last rows of the series. All 84 pairs
+    of an entity get a row, those that never occurred the fallback."""
     recent = F.col(date) >= cutoff
     value = F.col("total_movements")
     last_rows = F.col("n_steps") - F.col("pos") <= tail
@@ -141,6 +142,10 @@ def movement_assumption(
     )
     fallback = groups.groupBy("entity").agg((F.sum("_s") / F.sum("_c")).alias("_tail"))
     assumed = F.when(F.col("n_hits") >= at_least, F.col("_mean")).otherwise(F.col("_tail"))
-    return groups.join(fallback, "entity").select(
-        "entity", "dow", "month", "n_hits", assumed.cast("int").alias("movements_assumed")
+    every = fallback.select("entity", "_tail", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("dow")).select(
+        "*", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month")
+    )
+    return every.join(groups, ["entity", "dow", "month"], "left").select(
+        "entity", "dow", "month", F.coalesce("n_hits", F.lit(0)).alias("n_hits"),
+        assumed.cast("int").alias("movements_assumed"),
     )

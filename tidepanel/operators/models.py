@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, OneVsRest
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import Imputer, IndexToString, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, IndexToString, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.config import CLASS_LABELS
 from tidepanel.operators.blocks import ordinal
-from tidepanel.session import materialize, spread
+from tidepanel.session import materialize
 
 TARGET = "acps"
 SEED = 42
@@ -61,31 +61,33 @@ def linear_regressor() -> LinearRegression:
     return LinearRegression(labelCol=TARGET, featuresCol="features", predictionCol="acps_pred")
 
 
-def label_stages() -> tuple[StringIndexer, IndexToString]:
-    index = StringIndexer(
-        inputCol="congestion_class", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="skip"
-    )
-    back = IndexToString(inputCol="prediction", outputCol="congestion_pred", labels=sorted(CLASS_LABELS))
-    return index, back
+def labelled(train: DataFrame) -> DataFrame:
+    """Training rows with a known class, and its number. Labels are needed to learn only: a fitted
+    pipeline has no part that reads them, so it scores every row."""
+    names = F.array(*[F.lit(c) for c in sorted(CLASS_LABELS)])
+    number = F.array_position(names, F.col("congestion_class"))
+    return train.withColumn("label", (F.nullif(number, F.lit(0)) - 1).cast("double")).filter("label IS NOT NULL")
+
+
+def class_names() -> IndexToString:
+    return IndexToString(inputCol="prediction", outputCol="congestion_pred", labels=sorted(CLASS_LABELS))
 
 
 def boosted_classifier(rounds: int = 200, depth: int = 6, step: float = 0.1, leaf: int = 20) -> list:
     """Three classes from one boosted binary model per class."""
-    index, back = label_stages()
     binary = GBTClassifier(
         featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=step,
         minInstancesPerNode=leaf, seed=SEED,
     )
-    return [index, OneVsRest(classifier=binary, labelCol="label", featuresCol="features"), back]
+    return [OneVsRest(classifier=binary, labelCol="label", featuresCol="features"), class_names()]
 
 
-def perceptron(n_features: int, hidden: Sequence[int] = (64, 64), rounds: int = 200) -> list:
-    index, back = label_stages()
+def perceptron(n_features: int, hidden: Sequence[int] = (64, 64), rounds: int = 500) -> list:
     net = MultilayerPerceptronClassifier(
         layers=[n_features, *hidden, len(CLASS_LABELS)], labelCol="label", featuresCol="features",
         maxIter=rounds, seed=SEED,
     )
-    return [index, net, back]
+    return [net, class_names()]
 
 
 def permutation_importance(
@@ -101,11 +103,8 @@ def permutation_importance(
     vectors = model_inputs(model, test, features).withColumn("_all", F.lit(1))
     # any dense numbering will do: by hash bucket, then by key inside a bucket
     bucket = F.pmod(F.xxhash64("entity", time), F.lit(buckets))
-    numbered = spread(
-        materialize(
-            ordinal(vectors, ["_all"], ["entity", time], bucket, "_i", "_n").select("_i", "_n", "_x", TARGET),
-            "numbered",
-        )
+    numbered = materialize(
+        ordinal(vectors, ["_all"], ["entity", time], bucket, "_i", "_n").select("_i", "_n", "_x", TARGET), "numbered"
     )
     primes = (1000003, 1000033, 1000037, 1000039, 1000081, 1000099, 1000117, 1000121, 1000133, 1000151)
     steps = F.array(*[F.lit(primes[r % len(primes)]) for r in range(repeats)])

@@ -46,8 +46,10 @@ def weekly_bins(df: DataFrame, date: str, column: str, keys: Sequence[str] = ("e
 def target_correlation(
     df: DataFrame, target: str, columns: Sequence[str], keys: Sequence[str] = ("entity",)
 ) -> DataFrame:
-    """Pearson correlation of every column with the target: all in one aggregate."""
+    """Pearson correlation of every column with the target: all in one aggregate. A constant column
+    has none."""
     wide = df.groupBy(*keys).agg(*[F.corr(c, target).alias(c) for c in columns])
+    wide = wide.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns})
     cells = F.array(
         *[F.struct(F.lit(c).alias("feature"), F.col(c).alias("correlation")) for c in columns]
     )

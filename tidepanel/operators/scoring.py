@@ -52,7 +52,8 @@ def with_preset(scenarios: DataFrame, column: str = "preset") -> DataFrame:
 
 
 def history_features(
-    asked: DataFrame, history: DataFrame, s: Settings = DEFAULTS, windows: Sequence[int] = (7, 14, 28), tail: int = 30
+    asked: DataFrame, history: DataFrame, s: Settings = DEFAULTS, windows: Sequence[int] = (7, 14, 28), tail: int = 30,
+    week: int = 7,
 ) -> DataFrame:
     """Lags and trailing statistics before each ``(entity, dt)`` asked for.
 
@@ -69,12 +70,15 @@ def history_features(
         KEYS,
         "pos",
         {
-            f"_tail_{label}": (lambda w, c=c: F.avg(c).over(w.rowsBetween(1 - tail, 0)))
-            for label, c in series.items()
+            **{
+                f"_tail_{label}": (lambda w, c=c: F.avg(c).over(w.rowsBetween(1 - tail, 0)))
+                for label, c in series.items()
+            },
+            "_week": lambda w: F.avg("acps").over(w.rowsBetween(1 - week, 0)),
         },
-        back=tail,
-    )
-    values = ["acps", "total_movements", "_tail_acps", "_tail_movements"]
+        back=max(tail, week),
+    ).withColumn("_at", F.col("dt"))
+    values = ["acps", "total_movements", "_tail_acps", "_tail_movements", "_week", "_at"]
     rows = recent.select(*KEYS, "dt", F.lit(1).alias("_side"), *values).unionByName(
         asked.select(*KEYS, "dt", F.lit(0).alias("_side")).distinct(), allowMissingColumns=True
     ).withColumn("_day", day_number("dt"))
@@ -102,7 +106,11 @@ def history_features(
         for k in short:
             filled[f"{label}_lag_{k}d"] = F.coalesce(f"_at_{label}_{k}", f"_last_{c}")
         filled[f"{label}_lag_{year}d"] = F.coalesce(f"_at_{label}_{year}", f"_last__tail_{label}")
-    kept = [f"{label}_rmean_{n}d" for label in series for n in windows]
+    # past the history the score's weekly mean is that of the last known days
+    filled[f"acps_rmean_{week}d"] = F.when(F.datediff("dt", "_last__at") > 1, F.col("_last__week")).otherwise(
+        F.col(f"acps_rmean_{week}d")
+    )
+    kept = [f"{label}_rmean_{n}d" for label in series for n in windows if (label, n) != ("acps", week)]
     kept += [f"acps_rstd_{n}d" for n in s.daily_std_windows]
     return found.select(*KEYS, "dt", *[v.alias(n) for n, v in filled.items()], *kept)
 

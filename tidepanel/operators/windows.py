@@ -6,12 +6,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.config import DEFAULTS, Settings
 from tidepanel.operators.blocks import WindowColumn, block_of, blocked_window, carry_forward, ordinal
+from tidepanel.session import materialize
 
 KEYS = ("entity",)
 
@@ -19,10 +21,17 @@ KEYS = ("entity",)
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    """First row of each key in ``order`` as an aggregate: partial results are merged
-    before the shuffle, so many copies of one key never meet in one task."""
+    """First row of each key in ``order``, whose first column has no NULLs.
+
+    The least first column of each key is a hash aggregate over two columns; stored, its size
+    is known, so while it is small the rows are filtered by a broadcast lookup and never
+    shuffled. Only what is left, a few rows of each key, is compared in full."""
+    least = df.groupBy(*keys).agg(F.min(order[0]).alias("_least"))
+    lead = materialize(least.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_least"), "first")
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys] + [F.col(order[0]) == F.col("_least")]
+    near = df.join(lead, reduce(lambda a, b: a & b, same))
     row = F.min_by(F.struct(*columns), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(row).select(*keys, "_row.*")
+    return near.groupBy(*keys).agg(row).select(*keys, "_row.*")
 
 
 def lag_columns(column: str, label: str, lags: Sequence[int], unit: str) -> dict[str, WindowColumn]:

@@ -23,17 +23,17 @@ def daily_model_table(
     panel: DataFrame, weather: DataFrame, holidays: DataFrame, s: Settings = DEFAULTS
 ) -> DataFrame:
     """Daily form. ``weather`` has one row per ``dt``; all else is per entity."""
-    dated = holiday_flags(cyclic_parts(calendar_parts(panel, "dt")), holidays, "dt")
-    joined = dated.join(weather, "dt", "left").withColumn(
-        "arr_dep_imbalance", imbalance(F.col("arrivals"), F.col("departures"))
-    )
+    # the score refers to its input twice: only the bare panel goes through it
     scored = target.attach_score(
-        joined,
+        calendar_parts(panel, "dt"),
         target.DAILY_PHASE,
         ("acps", "congestion_class", "congestion_binary"),
         settings=s,
     )
-    featured = windows.daily_window_features(scored, s)
+    joined = holiday_flags(cyclic_parts(scored), holidays, "dt").join(weather, "dt", "left")
+    featured = windows.daily_window_features(
+        joined.withColumn("arr_dep_imbalance", imbalance(F.col("arrivals"), F.col("departures"))), s
+    )
     labels = ("acps", "movements")
     lags = {
         f"{label}_lag_{k}d": k
@@ -51,11 +51,10 @@ def hourly_model_table(
     panel: DataFrame, weather: DataFrame, holidays: DataFrame, s: Settings = DEFAULTS
 ) -> DataFrame:
     """Hourly form. ``weather`` has one row per ``ts``."""
-    dated = holiday_flags(cyclic_parts(calendar_parts(panel, "ts_hour")), holidays, "ts_hour")
+    scored = target.attach_score(calendar_parts(panel, "ts_hour"), target.HOURLY_PHASE, ("acps",), settings=s)
     hourly = weather_features(weather).withColumnRenamed("ts", "ts_hour")
-    joined = dated.join(hourly, "ts_hour", "left")
-    scored = target.attach_score(joined, target.HOURLY_PHASE, ("acps",), settings=s)
-    featured = windows.hourly_window_features(scored, s)
+    joined = holiday_flags(cyclic_parts(scored), holidays, "ts_hour").join(hourly, "ts_hour", "left")
+    featured = windows.hourly_window_features(joined, s)
     lags = {f"acps_lag_{k}h": k for k in s.hourly_lags}
     always = [f"acps_rmean_{n}h" for n in s.hourly_mean_windows]
     always += [f"acps_rstd_{n}h" for n in s.hourly_std_windows]

@@ -20,6 +20,8 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "12g") ->
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", _own_folder())
+        .config("spark.sql.files.maxPartitionBytes", "4m")
         .getOrCreate()
     )
 
@@ -32,18 +34,18 @@ def use_utc(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a session in one process, started elsewhere than in ``local_session``, may lack it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
+    if spark.sparkContext.master.split("[")[0] == "local":
+        return _own_folder()
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 @cache
-def _local_folder() -> str:
+def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="tidepanel-")
 
 
@@ -57,10 +59,3 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """For heavy work per row on a small file that is one split: spread it over the cores.
-    Input of at least as many splits as cores is left alone, so large tables never shuffle here."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidepanel.config import DEFAULTS, Settings
 from tidepanel.functions.spatial import density_columns, with_band
@@ -16,18 +17,27 @@ from tidepanel.operators.target import percentile_class
 DELAY = "1 hour"
 
 
-def file_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Stream over landed parquet files; the schema is that of the files.
+def file_stream(
+    spark: SparkSession, path: str, schema: StructType | None = None, files_per_batch: int | None = None
+) -> DataFrame:
+    """Stream over landed parquet files; without ``schema`` it is that of the files, of which there
+    must be one then. ``files_per_batch`` bounds what one micro-batch takes of a backlog.
 
     The stream source takes a plain path for a folder, so the path is given as a pattern
     that matches just itself; a single file and a folder then both work."""
+    path = path.rstrip("/")
     pattern = f"{path[:-1]}[{path[-1]}]"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(pattern)
+    reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(pattern)
 
 
-def event_stream(spark: SparkSession, path: str) -> DataFrame:
+def event_stream(
+    spark: SparkSession, path: str, schema: StructType | None = None, files_per_batch: int | None = None
+) -> DataFrame:
     """Event times as real timestamps, which watermarks need."""
-    return file_stream(spark, path).withColumn("ts", F.col("ts").cast("timestamp"))
+    return file_stream(spark, path, schema, files_per_batch).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str) -> None:
