@@ -66,11 +66,11 @@ def first_map(weights: DataFrame, shards: int) -> DataFrame:
 def rebalance(old: DataFrame, weights: DataFrame, shards: int) -> DataFrame:
     """The next version of the map for ``shards`` shards, which may be more or fewer than before.
 
-    Each shard keeps its heaviest slots up to an even share; only the rest, and the slots of
-    shards that are gone, are dealt again.
+    Each shard keeps its first slots up to an even share; only the rest, heavy and light ones
+    alike, and the slots of shards that are gone, are dealt again.
     """
     now = old.select("version", "vslot", "shard").join(weights, "vslot")
-    run = Window.partitionBy("shard").orderBy(F.desc("bytes"), "vslot").rowsBetween(Window.unboundedPreceding, 0)
+    run = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, 0)
     share = now.agg(F.ceil(F.sum("bytes") / shards).alias("share"))
     marked = now.withColumn("upto", F.sum("bytes").over(run)).crossJoin(share).withColumn("stays", (F.col("shard") < shards) & (F.col("upto") <= F.col("share")))
     stay = marked.where("stays").select((F.col("version") + 1).alias("version"), "vslot", "shard", "bytes", "n")
