@@ -100,3 +100,13 @@ def test_quality_report(spark):
         ("x", "missing_steps"): 1, ("all", "issues"): 4,
     }
     assert rows(quality.null_counts(df), "column") == [{"column": "v", "n_nulls": 2}]
+
+
+def test_constant_columns_have_no_correlation(spark):
+    rows = [(0, i, float(i), 0.1, None if i % 3 else float(-i), 5.0) for i in range(30)]
+    rows += [(1, i, 0.7, float(i), None, 0.1 * (i % 2)) for i in range(30)]
+    df = spark.createDataFrame(rows, "entity int, pos long, y double, flat double, rare double, x double")
+    got = {(r["entity"], r["feature"]): r["correlation"] for r in profiles.target_correlation(df, "y", ["flat", "rare", "x"]).collect()}
+    assert got == {(0, "flat"): None, (0, "rare"): pytest.approx(-1.0), (0, "x"): None, (1, "flat"): None, (1, "rare"): None, (1, "x"): None}
+    lags = {(r["entity"], r["lag"]): r["correlation"] for r in profiles.autocorrelation(df, "y", [1, 40]).collect()}
+    assert lags == {(0, 1): pytest.approx(1.0), (0, 40): None, (1, 1): None, (1, 40): None}

@@ -135,7 +135,8 @@ def permutation_importance(
     predicted = model.stages[-1].transform(mixed)
     error = F.col(TARGET) - F.col("acps_pred")
     scores = predicted.groupBy("_r", "_f").agg(
-        (1 - F.sum(error * error) / (F.var_pop(TARGET) * F.count(F.lit(1)))).alias("r2")
+        # a constant truth has no R2
+        (1 - F.try_divide(F.sum(error * error), F.var_pop(TARGET) * F.count(F.lit(1)))).alias("r2")
     )
     # feature -1 is the untouched table
     by_repeat = scores.groupBy("_r").agg(

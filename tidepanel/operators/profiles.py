@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.operators.blocks import WindowColumn, blocked_window
-from tidepanel.operators.stats import quantiles, with_group_stats
+from tidepanel.operators.stats import pearson, quantiles, with_group_stats
 
 
 def seasonal_profiles(df: DataFrame, date: str, column: str, keys: Sequence[str] = ("entity",)) -> DataFrame:
@@ -48,8 +48,7 @@ def target_correlation(
 ) -> DataFrame:
     """Pearson correlation of every column with the target: all in one aggregate. A constant column
     has none."""
-    wide = df.groupBy(*keys).agg(*[F.corr(c, target).alias(c) for c in columns])
-    wide = wide.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns})
+    wide = df.groupBy(*keys).agg(*[pearson(c, target).alias(c) for c in columns])
     cells = F.array(
         *[F.struct(F.lit(c).alias("feature"), F.col(c).alias("correlation")) for c in columns]
     )
@@ -65,12 +64,13 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
 
 
 def autocorrelation(df: DataFrame, column: str, lags: Sequence[int]) -> DataFrame:
-    """Correlation of a series with itself ``k`` rows earlier, all lags in one exchange."""
+    """Correlation of a series with itself ``k`` rows earlier, all lags in one exchange. A flat
+    series has none."""
     made: dict[str, WindowColumn] = {
         f"_lag_{k}": (lambda w, k=k: F.lag(column, k).over(w)) for k in lags
     }
     lagged = blocked_window(df, ["entity"], "pos", made, max(lags))
-    wide = lagged.groupBy("entity").agg(*[F.corr(column, f"_lag_{k}").alias(str(k)) for k in lags])
+    wide = lagged.groupBy("entity").agg(*[pearson(column, f"_lag_{k}").alias(str(k)) for k in lags])
     cells = F.array(
         *[F.struct(F.lit(k).alias("lag"), F.col(f"`{k}`").alias("correlation")) for k in lags]
     )

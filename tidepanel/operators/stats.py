@@ -64,6 +64,15 @@ def approximate_quantiles(
     )
 
 
+def pearson(x: str, y: str) -> Column:
+    """Correlation over the rows where both are known; NULL if either is constant there."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    a, b = F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double"))
+    # extremes tell a constant column from one whose deviation is only rounding
+    varies = (F.max(a) > F.min(a)) & (F.max(b) > F.min(b))
+    return F.when(varies, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
+
+
 def zscore(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
     """Sample z-score per group; a flat or single-row group gives 0."""
     out = with_group_stats(df, keys, _mean=F.avg(column), _std=F.stddev_samp(column))
