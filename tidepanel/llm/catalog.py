@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import byte_bpe, licenses, minmax, packing, pivot_topk, quality, rp_forest, slot_shards, toxicity, url_filter, vectors
+from tidepanel.llm import byte_bpe, filter_audit, licenses, minmax, packing, pivot_topk, quality, rp_forest, slot_shards, toxicity, url_filter, vectors
 from tidepanel.llm.common import held_out, table
 from tidepanel.session import new_path
 
@@ -138,6 +138,46 @@ def op10_licenses(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op12_filter_audit(spark: SparkSession, root: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, for every language."""
+    out = filter_audit.audit(table(spark, root, "documents"), table(spark, root, "labels"))
+    return out.withColumnsRenamed({"lost_quality": "good_lost", "lost_toxic": "toxic_lost"})
+
+
+OP12_SQL = """
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[ \\x09-\\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), f AS (
+  SELECT doc_id, part, [len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words),
+         100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t), regexp_matches(t, '[#$%&*|]'),
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails FROM w
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY 1
+), m AS (
+  SELECT part, fails, coalesce(good, false) AS good, coalesce(bad, false) AS bad, count(*) AS n
+  FROM f LEFT JOIN l ON l.doc_id = f.doc_id GROUP BY ALL
+), k AS (SELECT unnest(range(1, 6)) AS i), o AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS seq FROM k a, k b, k c, k d, k e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), s AS (SELECT seq, list_aggregate(list_transform(seq, lambda x: substr('ABCDE', x, 1)), 'string_agg', '') AS filter_order, k.i AS step, seq[k.i] AS own FROM o, k),
+g AS (
+  SELECT part, filter_order, step, own, fails[own] AS failed, len(list_filter(seq[:step - 1], lambda x: fails[x])) > 0 AS earlier,
+         len(list_filter(fails, lambda x: x)) AS n_fails, good, bad, n FROM s, m
+), r AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, own,
+         CAST(coalesce(sum(n) FILTER (NOT failed AND NOT earlier), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (failed AND NOT earlier), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (failed AND earlier), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (failed AND n_fails = 1), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(n) FILTER (failed AND NOT earlier AND good), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(n) FILTER (failed AND NOT earlier AND bad), 0) AS BIGINT) AS toxic_lost
+  FROM g GROUP BY 1, 2, 3, 4
+)
+SELECT * EXCLUDE own, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r
+"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_pivot_topk": op2_pivot_topk,
@@ -149,6 +189,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_rp_forest": op9_rp_forest,
     "op10_licenses": op10_licenses,
+    "op12_filter_audit": op12_filter_audit,
 }
 
-ORACLE = {"op2_pivot_topk": OP2_SQL, "op3_url_filter": OP3_SQL}
+ORACLE = {"op2_pivot_topk": OP2_SQL, "op3_url_filter": OP3_SQL, "op12_filter_audit": OP12_SQL}
