@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import byte_bpe, filter_audit, licenses, minmax, packing, pivot_topk, quality, rp_forest, slot_shards, toxicity, url_filter, vectors
+from tidepanel.llm import byte_bpe, filter_audit, licenses, minmax, packing, pivot_topk, quality, rp_forest, simhash, slot_shards, toxicity, url_filter, vectors
 from tidepanel.llm.common import held_out, table
 from tidepanel.session import new_path
 
@@ -178,6 +178,12 @@ SELECT * EXCLUDE own, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT)
 """
 
 
+def op13_simhash(spark: SparkSession, root: str) -> DataFrame:
+    """Components of documents whose fingerprints differ in at most 3 bits."""
+    out = simhash.near_duplicates(table(spark, root, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_pivot_topk": op2_pivot_topk,
@@ -190,6 +196,7 @@ QUERIES = {
     "op9_rp_forest": op9_rp_forest,
     "op10_licenses": op10_licenses,
     "op12_filter_audit": op12_filter_audit,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLE = {"op2_pivot_topk": OP2_SQL, "op3_url_filter": OP3_SQL, "op12_filter_audit": OP12_SQL}

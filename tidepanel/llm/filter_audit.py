@@ -227,4 +227,4 @@ def audit(docs: DataFrame, labels: DataFrame, part: str = "lang", key: str = "do
     known = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id"))
     known = known.agg(*[F.coalesce(F.bool_or(F.col(m) == 1), F.lit(False)).alias(m) for m in marks])
     lists = materialize(posting_lists(flagged.join(known, "id", "left"), filters, marks), "postings")
-    return all_orders(removals(lists, filters, marks), filters, marks)
+    return all_orders(materialize(removals(lists, filters, marks), "removals"), filters, marks)
