@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import byte_bpe, filter_audit, licenses, minmax, packing, pivot_topk, quality, rp_forest, simhash, slot_shards, toxicity, url_filter, vectors
+from tidepanel.llm import byte_bpe, filter_audit, licenses, minmax, packing, pivot_topk, prefix_trie, quality, rp_forest, simhash, slot_shards, toxicity, url_filter, vectors
 from tidepanel.llm.common import held_out, table
 from tidepanel.session import new_path
 
@@ -138,6 +138,47 @@ def op10_licenses(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, root: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, root, "conversations"))
+
+
+OP11_SQL = """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+  SELECT DISTINCT conv_id, xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))) AS crc FROM t
+), c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, crc % 6 AS h FROM crc
+), n AS (SELECT conv_id, count(*) AS n FROM t GROUP BY 1
+), r AS (
+  SELECT c.conv_id, place, role, text FROM c JOIN t ON t.conv_id = c.base AND place < h
+  UNION ALL SELECT c.conv_id, place - h + least(h, coalesce(n.n, 0)), role, text
+  FROM c JOIN t ON t.conv_id = c.conv_id AND place >= h LEFT JOIN n ON n.conv_id = c.base
+), p AS (
+  SELECT conv_id, 0 AS depth, '' AS key, 0 AS chars FROM c
+  UNION ALL SELECT conv_id, place + 1, string_agg(concat(length(role), ':', role, length(text), ':', text), '') OVER (PARTITION BY conv_id ORDER BY place), length(text) FROM r
+), nodes AS (SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars FROM p GROUP BY 1, 2
+), tree AS (
+  SELECT n.*, p.key AS parent_key FROM nodes n LEFT JOIN p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+), kids AS (SELECT parent_key AS key, depth - 1 AS depth, count(*) AS n_children FROM tree WHERE depth > 0 GROUP BY 1, 2
+), totals AS (
+  SELECT p.depth, p.key, count(*) FILTER (k.key IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved
+  FROM nodes n LEFT JOIN kids k ON k.key = n.key AND k.depth = n.depth JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY 1, 2
+), ends AS (
+  SELECT depth, key, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT * FROM p QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)) GROUP BY 1, 2
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+       t.n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM tree n JOIN totals t ON t.key = n.key AND t.depth = n.depth LEFT JOIN kids k ON k.key = n.key AND k.depth = n.depth
+LEFT JOIN ends e ON e.key = n.key AND e.depth = n.depth LEFT JOIN nodes up ON up.key = n.parent_key AND up.depth = n.depth - 1
+"""
+
+
 def op12_filter_audit(spark: SparkSession, root: str) -> DataFrame:
     """What five filters remove in each of their 120 orders, for every language."""
     out = filter_audit.audit(table(spark, root, "documents"), table(spark, root, "labels"))
@@ -195,8 +236,9 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_rp_forest": op9_rp_forest,
     "op10_licenses": op10_licenses,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_filter_audit": op12_filter_audit,
     "op13_simhash": op13_simhash,
 }
 
-ORACLE = {"op2_pivot_topk": OP2_SQL, "op3_url_filter": OP3_SQL, "op12_filter_audit": OP12_SQL}
+ORACLE = {"op2_pivot_topk": OP2_SQL, "op3_url_filter": OP3_SQL, "op11_prefix_trie": OP11_SQL, "op12_filter_audit": OP12_SQL}
