@@ -110,3 +110,28 @@ def test_constant_columns_have_no_correlation(spark):
     assert got == {(0, "flat"): None, (0, "rare"): pytest.approx(-1.0), (0, "x"): None, (1, "flat"): None, (1, "rare"): None, (1, "x"): None}
     lags = {(r["entity"], r["lag"]): r["correlation"] for r in profiles.autocorrelation(df, "y", [1, 40]).collect()}
     assert lags == {(0, 1): pytest.approx(1.0), (0, 40): None, (1, 1): None, (1, 40): None}
+
+
+def test_percentiles_by_selection(spark):
+    """Of a million distinct values, of ties, of few rows and of a key that is NULL, against sorting."""
+    big = spark.range(1_000_000).select(F.lit(1).alias("k"), F.exp(F.randn(3) * 8).alias("v"), F.when(F.rand(5) < 0.9, 7.0).otherwise(F.randn(1)).alias("x"))
+    mid = spark.range(9000).select(F.lit(2).alias("k"), (F.col("id") * F.col("id")).cast("double").alias("v"), F.lit(None).cast("double").alias("x"))
+    few = spark.createDataFrame([(None, 3.0, 1.0), (None, 1.0, None), (None, 2.0, 1.0), (3, -0.5, 2.0)], "k int, v double, x double")
+    df = big.unionByName(mid).unionByName(few)
+    points = {"lowest": 0.0, "p10": 0.1, "mid": 0.5, "p85": 0.85, "p999": 0.999, "highest": 1.0}
+    got = {(r["k"], r["column"]): r for r in stats.percentiles(df, ["k"], ["v", "x"], points).collect()}
+    rows = df.toPandas()
+    assert len(got) == 8
+    for (k, c), r in got.items():
+        values = rows[rows.k.isna() if k is None else rows.k == k][c].dropna().to_numpy()
+        assert r["n"] == len(values)
+        have = [r[p] for p in points]
+        assert have == [None] * 6 if not len(values) else np.allclose(have, np.quantile(values, list(points.values())), rtol=1e-12, atol=0)
+    assert stats.percentiles(df.limit(0), ["k"], ["v"], points).count() == 0
+    assert stats.quantiles(df.drop("k"), [], "v", {"mid": 0.5}).first()["mid"] == pytest.approx(rows.v.median())
+
+
+def test_percentiles_hold_no_group(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"))
+    plan = stats.describe(df, ["k"], ["v"], {"mid": 0.5})._jdf.queryExecution().executedPlan().toString()
+    assert "percentile_approx" in plan and "percentile(" not in plan and "collect_list" not in plan

@@ -81,3 +81,18 @@ def test_distance_and_bands(spark):
     bands = spatial.DEFAULTS.bands_km
     got = [r[0] for r in km.select(spatial.band_label(F.col("km") / spatial.KM_PER_NM, bands)).collect()]
     assert got == ["inner", "middle", "middle", "outside", None]
+
+
+def test_spine_of_a_far_range_is_dealt_in_blocks(spark):
+    """From 1970 to the year 9999: 70 million hours, counted without an array of them."""
+    ends = [(0, "1970-01-01 00:00:00"), (0, "9999-12-31 23:00:00"), (1, "2024-02-28 23:00:00"), (1, "2024-03-01 01:00:00"), (2, None)]
+    df = spark.createDataFrame(ends, "entity int, t string").select("entity", F.col("t").cast("timestamp").alias("t"))
+    spine = panel.time_spine(df, ["entity"], "t", "hour")
+    far = spine.where("entity = 0").agg(F.count("*"), F.min("t"), F.max("pos"), F.max("n_steps"), F.max(F.unix_micros("t"))).first()
+    n = 70389528
+    assert (far[0], far[2], far[3], far[4]) == (n, n - 1, n, (n - 1) * 3_600_000_000)
+    near = spine.where("entity = 1").orderBy("pos").collect()
+    assert [r["pos"] for r in near] == list(range(27)) and str(near[1]["t"]) == "2024-02-29 00:00:00" and near[0]["n_steps"] == 27
+    assert spine.where("entity = 2").isEmpty()
+    days = panel.time_spine(df.select("entity", F.to_date("t").alias("t")), ["entity"], "t", "day").where("entity = 1").orderBy("pos").collect()
+    assert [str(r["t"]) for r in days] == ["2024-02-28", "2024-02-29", "2024-03-01"]

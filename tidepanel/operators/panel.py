@@ -43,16 +43,32 @@ def outer_join_counts(arrivals: DataFrame, departures: DataFrame, keys: Sequence
     )
 
 
+#: steps of a series that one row of the first level stands for
+SPINE_BLOCK = 4096
+
+
 def time_spine(df: DataFrame, keys: Sequence[str], time: str, step: str) -> DataFrame:
     """Every step between the first and last time of each key, with its position
-    ``pos`` and the number of steps ``n_steps``."""
-    bounds = df.groupBy(*keys).agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
-    every = F.expr(f"interval 1 {step}")
-    return bounds.select(
-        *keys,
-        F.size(F.sequence("_first", "_last", every)).cast("long").alias("n_steps"),
-        F.posexplode(F.sequence("_first", "_last", every)).alias("pos", time),
-    ).withColumn("pos", F.col("pos").cast("long"))
+    ``pos`` and the number of steps ``n_steps``.
+
+    In two levels: a key's range becomes blocks of ``SPINE_BLOCK`` steps first, which are dealt over all tasks, and
+    each block becomes its steps there. A range of a million years is some rows for each task, never one array of all steps.
+    """
+    if dict(df.dtypes)[time] == "date":
+        number, unit = "CAST(unix_date({}) AS BIGINT)", STEPS[step] // 86400
+        at = lambda n: F.date_from_unix_date(n.cast("int"))
+    else:
+        number, unit = "unix_micros({})", STEPS[step] * 1_000_000
+        at = F.timestamp_micros
+    first, last = number.format("_first"), number.format("_last")
+    bounds = df.groupBy(*keys).agg(F.min(time).alias("_first"), F.max(time).alias("_last")).where("_first IS NOT NULL")
+    ranges = bounds.select(*keys, F.expr(first).alias("_first"), F.expr(f"({last} - {first}) div {unit} + 1").alias("n_steps"))
+    blocks = ranges.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_steps") - 1) / SPINE_BLOCK))).alias("_block"))
+    dealt = blocks.repartition(*keys, "_block").withColumn("_from", F.col("_block") * SPINE_BLOCK)
+    upto = F.least(F.col("_from") + SPINE_BLOCK, F.col("n_steps")) - 1
+    return dealt.select(*keys, "n_steps", "_first", F.explode(F.sequence(F.col("_from"), upto)).alias("pos")).select(
+        *keys, "n_steps", "pos", at(F.col("_first") + F.col("pos") * unit).alias(time)
+    )
 
 
 def fill_gaps(counts: DataFrame, keys: Sequence[str], time: str, step: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.operators.blocks import WindowColumn, blocked_window
-from tidepanel.operators.stats import pearson, quantiles, with_group_stats
+from tidepanel.operators.stats import describe, pearson, quantiles, with_group_stats
 
 
 def seasonal_profiles(df: DataFrame, date: str, column: str, keys: Sequence[str] = ("entity",)) -> DataFrame:
@@ -158,9 +158,7 @@ def group_mean(df: DataFrame, keys: Sequence[str], column: str, name: str) -> Da
 def feature_stats(
     train: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("entity",)
 ) -> DataFrame:
-    """Training distribution of each feature."""
-    from tidepanel.operators.stats import describe
-
-    return describe(train, keys, columns, {"p10": 0.1, "p50": 0.5, "p90": 0.9}).select(
+    """Training distribution of each feature, from a stored table."""
+    return describe(train, keys, columns, {"p10": 0.1, "p50": 0.5, "p90": 0.9}, stored=True).select(
         *keys, F.col("column").alias("feature"), "mean", "std", "min", "max", "p10", "p50", "p90"
     )
