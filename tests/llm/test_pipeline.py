@@ -3,6 +3,7 @@
 import __spark_entry__ as entry
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.test_minmax import brute
 from tidepanel.llm import quality, toxicity
@@ -32,18 +33,55 @@ def test_rows_without_id_stay(spark):
     assert sorted(kept, key=str) == [2, 3, None, None]
 
 
+def test_texts_of_one_id(spark):
+    a, b = "a b c d e f g h", "i j k l m n o p"
+    rows = [(5, a, "en"), (5, b, "de"), (5, a, "en"), (4, b, "fr"), (7, a, "en"), (8, None, "x"), (8, "", "x"), (9, " ", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, near_key string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, ROOT)
+    assert kept.columns == docs.columns
+    got = sorted((r["doc_id"], r["text"]) for r in kept.where("text LIKE '%a%' OR text LIKE '%i%'").collect())
+    # both texts are left, once each; which text goes under id 5 itself depends on its hash
+    assert got in ([(4, b), (5, a)], [(4, b), (7, a)])
+    assert {r["doc_id"] for r in kept.collect()} - {5, 7} == {4, 8, 9}
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), ROOT).count() == 0
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 1), (2, 1, 1)], [(1, 0, 0), (3, None, None), (None, 1, 1)]])
+def test_filters_without_usable_labels_keep_all(spark, tmp_path, labels):
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [(i, f"text {i} of the corpus", 0.5) for i in range(40)] + [(None, None, 0.1), (3, "", 0.2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic_chance double").withColumn("good_chance", F.lit("own"))
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.keep_good):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and sorted(map(str, out.collect())) == sorted(map(str, docs.collect()))
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_clashing_columns_are_kept(spark):
+    docs = spark.read.parquet(f"{ROOT}/documents.parquet").withColumn("toxic_chance", F.lit("own")).withColumn("Good_Chance", F.lit(7))
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.keep_good):
+        out = stage(spark, docs, ROOT)
+        assert out.columns == docs.columns and out.where("toxic_chance <> 'own' OR Good_Chance <> 7").isEmpty() and out.count() > 20
+
+
+def test_empty_documents(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{ROOT}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_registered():
     names = entry.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "near_copies", "packing"]
 
 
-@pytest.mark.parametrize("name", ["op2_pivot_topk", "op3_url_filter"])
+@pytest.mark.parametrize("name", ["op2_pivot_topk", "op3_url_filter", "op11_prefix_trie", "op12_filter_audit"])
 def test_sql_agrees(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("embeddings", "pages"):
+    for t in ("embeddings", "pages", "documents", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{ROOT}/{t}.parquet'")
     df = entry.queries()[name](spark, ROOT)
     cur = con.execute(entry.oracle_sql()[name])

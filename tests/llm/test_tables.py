@@ -156,3 +156,27 @@ def test_cuts_are_the_cheapest():
 
         choices = [[a for a, k in zip(at, mask) if k] + [at[-1]] for mask in itertools.product([0, 1], repeat=len(at) - 1)]
         assert price(packing.choose_cuts(at, costs, 10)) == min(map(price, choices))
+
+
+def test_long_white_space():
+    codec = byte_bpe.encoding(RANKS, PATTERN)
+    rng = random.Random(6)
+    cut = byte_bpe.STRETCH
+    for _ in range(30):  # runs the library can take
+        parts = [rng.choice(["word", "!", "9", " x", "é", ""]) + rng.choice([" ", "\n", "\t", "\u3000", "\xa0", " \n"]) * rng.choice([1, 3, 5000, 40000]) for _ in range(4)]
+        text = "".join(parts) + rng.choice(["", "end", ".", "\x1c"])
+        text = text if len(text) > cut else text + " pad" * cut
+        assert byte_bpe.encode_text(codec, text) == codec.encode_ordinary(text)
+    for space in (" ", "\n", "\t"):  # runs it can't
+        for text in (space * 2_000_000, f"a{space * 2_000_000}b c", f"{space * 2_000_000}\n9"):
+            assert codec.decode_bytes(byte_bpe.encode_text(codec, text)) == text.encode()
+
+
+def test_long_texts_through_the_operator(spark):
+    rng = random.Random(7)
+    texts = [" " * 1_200_000 + "x", "".join(rng.choices(["ab ", "é", "\n", "12", "  ", "!"], k=90_000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = byte_bpe.decode(byte_bpe.encode(df, RANKS, PATTERN), RANKS, PATTERN)
+    assert {r["doc_id"]: bytes(r["decoded"]) for r in out.collect()} == {i: t.encode() for i, t in enumerate(texts)}
+    codec = byte_bpe.encoding(RANKS, PATTERN)
+    assert out.where("doc_id = 1").first()["ids"] == codec.encode_ordinary(texts[1])

@@ -71,6 +71,74 @@ def test_disguised_words(spark, decoder):
     assert [x["restored"] for x in toxicity.restore(df, decoder).collect()] == ["moron", None, ""]
 
 
+def test_probes(decoder):
+    r = toxicity.Restorer(decoder)
+    pairs = {
+        "idi07": "idiot", "stuupid": "stupid", "traash": "trash", "1d10t!!": "idiot", "tra5h": "trash", "stu.pid": "stupid", "l-o-s-e-r": "loser",
+        "5cum": "scum", "good": "good", "a-good-idiot": "a good idiot", "": "", "***": "", "12.30": "12.30",
+    }
+    assert {w: r.word(w) for w in pairs} == pairs
+    spelt = {"i  d i o t": "idiot", "you a s t u p i d one": "you a stupid one", "m o r o n s t u p i d": "moron stupid", "t.r.a.s.h": "trash"}
+    assert {t: r.text(t) for t in spelt} == spelt
+    assert r.text("a-good idiot") == "a-good idiot"  # joined words stay joined
+    long = "stup1d" * 2000
+    assert len(r.word(long)) > 9000
+
+
+def test_decoder_against_all_readings(decoder):
+    """The likeliest of all ways to read a short span."""
+    import itertools
+
+    def price(span, choice):
+        a = b = total = 0
+        for c, p in choice:
+            total += p
+            if c is not None and not (c == b == 0):
+                total += decoder.cost[a, b, c]
+                a, b = b, c
+        return total + (decoder.cost[a, b, 0] if b else 0.0)
+
+    rng = random.Random(4)
+    for _ in range(60):
+        span = "".join(rng.choices("idtosup10$* .-", k=rng.randint(1, 7)))
+        cut = toxicity.SEPARATORS.sub(" ", span)
+        options = [decoder._options(c, before) for before, c in zip(["", *cut], cut)]
+        best = min(itertools.product(*options), key=lambda ch: price(cut, ch))
+        got = decoder.decode(span)
+        prices = [price(cut, ch) for ch in itertools.product(*options) if "".join(toxicity.LETTERS[c - 1] if c else " " for c, _ in ch if c is not None).split() == got.split()]
+        assert prices and min(prices) == pytest.approx(price(cut, best))
+
+
+def test_rare_toxic_words_and_copies(spark):
+    """A word of 1 in 100 toxic texts counts; near copies teach once; the lexicon does not depend on the layout."""
+    rng = random.Random(8)
+    plain = [f"{a}{b}{c}" for a in ("ta", "ko", "li", "ve") for b in ("ne", "ru", "mo", "pa") for c in ("s", "d", "va", "lin")]
+    rows, labels = [], []
+    for i in range(1500):
+        text = rng.choices(plain, k=30)
+        if toxic := i % 3 == 0:
+            text.insert(9, "grumpfel" if i % 75 else "snorkwit")
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    rows += [(2000 + i, "zubbel " + rows[0][1]) for i in range(40)] + [(3000, None), (3001, ""), (3002, "tanes " * 50000)]
+    labels += [(2000 + i, 1) for i in range(40)] + [(3000, 0), (3001, 1), (3002, 0)]
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    models = [toxicity.fit(d, known) for d in (docs, docs.orderBy(F.desc("doc_id")).repartition(3))]
+    assert models[0].lexicon == models[1].lexicon and "snorkwit" in models[0].lexicon and "zubbel" not in models[0].lexicon
+
+
+def test_quality_learns_from_long_texts_only(spark):
+    rng = random.Random(9)
+    words = {c: ["".join(rng.choices("abcdefgh" if c else "rstuvwxy", k=rng.randint(3, 8))) for _ in range(400)] for c in (0, 1)}
+    rows = [(i, " ".join(rng.choices(words[i % 2], k=9000 if i % 2 else 60))) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (1, "another text of the id"), (None, "x")], "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    model = quality.fit(docs, known)
+    assert model.chance is not None
+    new = spark.createDataFrame([(c, " ".join(rng.choices(words[c], k=n))) for c in (0, 1) for n in (50, 400, 9000)], "c int, text string")
+    assert all((r["score"] >= 0.7) == r["c"] for r in quality.score(new, model).collect())
+
+
 def test_disguised_words_score_as_plain_ones(spark):
     rng = random.Random(2)
     plain = [f"{a}{b}{c}" for a in ("ta", "ko", "li") for b in ("ne", "ru", "mo") for c in ("s", "d", "va")]

@@ -26,6 +26,11 @@ STRETCH = 1 << 16
 #: and none looks back, so a text may be cut there: both sides split as the whole text does.
 SAFE = re.compile(r"(?<=[^\W_])(?=[ \n])")
 
+#: White space of so many characters or more is encoded by itself: the pattern takes all but the last character of a
+#: run as one match (all of it at the end of a text), and matching a run of a million would exhaust the library's stack.
+RUN = 1 << 12
+SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % RUN)
+
 
 @lru_cache(maxsize=4)
 def encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
@@ -49,7 +54,13 @@ def encode_text(codec: tiktoken.Encoding, text: str | None) -> list[int]:
         return []
     if len(text) <= STRETCH:
         return codec.encode_ordinary(text)
-    return list(chain.from_iterable(codec.encode_ordinary(s) for s in stretches(text)))
+    ids, at = [], 0
+    for run in SPACE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += chain.from_iterable(codec.encode_ordinary(s) for s in stretches(text[at : run.start()]))
+        ids += codec._encode_single_piece(text[run.start() : end])
+        at = end
+    return [*ids, *chain.from_iterable(codec.encode_ordinary(s) for s in stretches(text[at:]))]
 
 
 def encode(df: DataFrame, rank_file: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -1,11 +1,11 @@
 """Toxicity of texts whose words may be disguised.
 
 A noisy channel turns a word into what is read: letters become look-alike digits and signs
-(leetspeak), separators stand between letters, letters are repeated. Each suspect stretch spans
-a lattice of letters it may stand for; Viterbi decoding under a character trigram model of the whole
-corpus picks the likeliest. The restored words are then looked up in a lexicon of words and word
-beginnings that labelled texts have taught, and the sum of their weights is calibrated to a
-probability.
+(leetspeak), separators stand between letters, letters are repeated. Every stretch with a look-alike next
+to a letter, a doubled letter or a separator spans a lattice of what it may stand for, word boundaries
+included; Viterbi decoding under a character trigram model of the whole corpus picks the likeliest.
+The restored words are then looked up in a lexicon of words and word beginnings that labelled texts
+have taught, and the sum of their weights is calibrated to a probability.
 """
 
 from __future__ import annotations
@@ -16,12 +16,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from tidepanel.llm.common import SLICE, fit_logistic, labelled_sample, small_batches, with_arrow_columns
+from tidepanel.llm.minmax import near_duplicates
 from tidepanel.session import materialize
 
 #: letters of the character model; anything else ends a word
@@ -30,33 +30,31 @@ SIZE = len(LETTERS) + 1
 
 #: signs and the letters they may stand for
 LOOKALIKE = {
-    "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
+    "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "gpq",
     "*": "aeiou", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "¢": "c", "¡": "i",
 }
 
 #: negative log probabilities of the channel
-SUBSTITUTE, REPEAT, SEPARATE, DROP = 1.0, 0.7, 0.3, 7.0
+SUBSTITUTE, REPEAT, SEPARATE, BOUNDARY, DROP, STAR = 1.0, 0.7, 0.3, 0.3, 7.0, 2.0
 
 SIGNS = re.escape("".join(LOOKALIKE))
-LETTER = f"[{LETTERS}]"
-SUSPECT = re.compile(
-    rf"{LETTER}[{SIGNS}]+{LETTER}|^[{SIGNS}]+{LETTER}|({LETTER})\1\1|^[{LETTERS}{SIGNS}]{{1,2}}(?:[.\-_*/·][{LETTERS}{SIGNS}]{{1,2}}){{2,}}$"
-)
-SPACED = re.compile(rf"(?<!\S)[{LETTERS}{SIGNS}](?:[ .\-_*/·][{LETTERS}{SIGNS}]){{2,}}(?!\S)")
-TRAIL = re.compile(rf"[{SIGNS}]{{3,}}$")
+LETTER, EITHER, BETWEEN = f"[{LETTERS}]", f"[{LETTERS}{SIGNS}]", r"[.\-_/·]"
+SUSPECT = re.compile(rf"(?=[^{LETTERS}]*{LETTER})(?:.*?)(?:{LETTER}[{SIGNS}]|[{SIGNS}]{LETTER}|({LETTER})\1|{EITHER}{BETWEEN}+{EITHER})", re.DOTALL)
+SPACED = re.compile(rf"(?<![\w{SIGNS}]){EITHER}(?:[ .\-_*/·]{{1,3}}{EITHER}){{2,}}(?![\w{SIGNS}])")
+SEPARATORS = re.compile(r"[ .\-_/·]+")
 EDGES = "\t\n\r \"'.,;:!?()[]{}<>*#%&~^_-=/\\«»“”„¿¡…"
 
 #: labelled rows of each class that a lexicon is learnt from
 SAMPLE = 6000
 
-#: a lexicon entry stands in this share of the toxic texts at least, and in so many
-SUPPORT, LEAST = 0.01, 5
+#: a lexicon entry stands in so many toxic texts at least
+LEAST = 5
 
 #: ... and is so much likelier in toxic texts: the natural logarithm of the ratio, less so many standard errors
 EVIDENCE, DOUBT = 2.0, 1.0
 
-#: the most lexicon entries, the best first; the corpus decides nothing here, only the labelled sample does
-ENTRIES = 4000
+#: characters that are decoded at once; a longer stretch without white space is decoded part by part
+LONGEST = 256
 
 BEGINNINGS = (4, 5, 6, 7, 8)
 
@@ -108,42 +106,46 @@ class Decoder:
         self.cost = -np.log(p3)
         self.code = {c: i for i, c in enumerate(LETTERS, 1)}
 
-    def _options(self, char: str, before: str) -> list[tuple[str, float]]:
-        """Letters a sign may stand for ('' for none), and what each costs."""
-        out: list[tuple[str, float]] = []
+    def _options(self, char: str, before: str) -> list[tuple[int | None, float]]:
+        """Codes of what a sign may stand for (None for nothing, 0 for a word boundary), and what each costs."""
         if char in self.code:
-            out.append((char, 0.0))
-            if char == before:
-                out.append(("", REPEAT))
-        elif char in LOOKALIKE:
-            out += [(x, SUBSTITUTE) for x in LOOKALIKE[char]]
-            out.append(("", REPEAT if char == before else DROP))
-        else:
-            out.append(("", SEPARATE))
-        return out
+            out: list[tuple[int | None, float]] = [(self.code[char], 0.0)]
+            return [*out, (None, REPEAT)] if char == before else out
+        if char in LOOKALIKE:
+            nothing = REPEAT if char == before else STAR if char == "*" else DROP
+            return [*((self.code[x], SUBSTITUTE) for x in LOOKALIKE[char]), (None, nothing)]
+        return [(None, SEPARATE), (0, BOUNDARY)]
 
     def decode(self, span: str) -> str:
-        """The likeliest letters for ``span``."""
+        """The likeliest words for ``span``, with single spaces between them."""
+        span = SEPARATORS.sub(" ", span)
+        return "".join(self._part(span[at : at + LONGEST]) for at in range(0, len(span), LONGEST))
+
+    def _part(self, span: str) -> str:
         best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         before = ""
         for char in span:
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for letter, price in self._options(char, before):
+            for c, price in self._options(char, before):
                 for (a, b), (cost, path) in best.items():
-                    if letter:
-                        c = self.code[letter]
-                        state, total, way = (b, c), cost + price + self.cost[a, b, c], (path, letter)
-                    else:
+                    if c is None or c == b == 0:
                         state, total, way = (a, b), cost + price, path
+                    else:
+                        state, total, way = (b, c), cost + price + self.cost[a, b, c], (path, c)
                     if state not in after or total < after[state][0]:
                         after[state] = (total, way)
             best, before = after, char
-        (a, b), (_, path) = min(best.items(), key=lambda x: x[1][0] + self.cost[x[0][0], x[0][1], 0])
+
+        def whole(entry: tuple) -> float:
+            (a, b), (cost, _) = entry
+            return cost + (self.cost[a, b, 0] if b else 0.0)
+
+        _, (_, path) = min(best.items(), key=whole)
         out = []
         while path:
-            path, letter = path
-            out.append(letter)
-        return "".join(reversed(out))
+            path, c = path
+            out.append(LETTERS[c - 1] if c else " ")
+        return "".join(reversed(out)).strip()
 
 
 class Restorer:
@@ -153,9 +155,10 @@ class Restorer:
         self.decoder = decoder
 
     def word(self, chunk: str) -> str:
-        """What a stretch without white space, in lower case, stands for."""
-        core = TRAIL.sub("", chunk.strip(EDGES))
-        return self.decoder.decode(core) if SUSPECT.search(core) else core
+        """What a stretch without white space, in lower case, stands for: a word, or several with spaces. What has no
+        look-alike next to a letter, no doubled letter and no separator stands for itself."""
+        core = chunk.strip(EDGES)
+        return self.decoder.decode(core) if SUSPECT.match(core) else core
 
     def spaced(self, text: str) -> Iterator[tuple[int, int, str]]:
         """Spelt-out words: begin, end and what they stand for."""
@@ -176,11 +179,12 @@ class Restorer:
     def _chunks(self, text: str) -> str:
         def restored(m: re.Match) -> str:
             low = m[0].lower()
-            core = TRAIL.sub("", low.strip(EDGES))
-            if not SUSPECT.search(core):
+            core = low.strip(EDGES)
+            if not SUSPECT.match(core):
                 return m[0]
-            at = low.index(core)
-            return m[0][:at] + self.decoder.decode(core) + m[0][at + len(core) :]
+            meant, at = self.decoder.decode(core), low.index(core)
+            # words that were only joined by separators stay joined
+            return m[0] if meant == SEPARATORS.sub(" ", core) else m[0][:at] + meant + m[0][at + len(core) :]
 
         return re.sub(r"\S+", restored, text)
 
@@ -204,49 +208,45 @@ class Scorer:
     def __init__(self, model: Model):
         self.lexicon = model.lexicon
         self.restorer = Restorer(model.decoder)
-        self.known: dict[str, tuple[str, float] | None] = {}
+        self.known: dict[str, list[tuple[str, float]]] = {}
 
-    def _look(self, word: str) -> tuple[str, float] | None:
-        weight = max((self.lexicon.get(f, 0.0) for f in features(word)), default=0.0) if word else 0.0
-        return (word, weight) if weight > 0 else None
+    def _look(self, words: str) -> list[tuple[str, float]]:
+        """Those of the words that the lexicon has, with their weights."""
+        weights = ((w, max(self.lexicon.get(f, 0.0) for f in features(w))) for w in words.split())
+        return [(w, weight) for w, weight in weights if weight > 0]
 
     def sum(self, text: str) -> float:
         low = text.lower()
         if len(self.known) > CACHE:
             self.known.clear()
-        found, known = {}, self.known
+        found: dict[str, float] = {}
+        known = self.known
         for chunk in set(low.split()):
             if chunk not in known:
                 known[chunk] = self._look(self.restorer.word(chunk))
-            if hit := known[chunk]:
-                found[hit[0]] = hit[1]
-        for _, _, word in self.restorer.spaced(low):
-            if hit := self._look(word):
-                found[hit[0]] = hit[1]
-        return sum(found.values())
+            found.update(known[chunk])
+        for _, _, words in self.restorer.spaced(low):
+            found.update(self._look(words))
+        return sum(sorted(found.values()))
 
 
 def _learning_rows(sample: DataFrame, decoder: Decoder) -> DataFrame:
-    """The sample with each text's features and a mark that near copies share: the least hash of its
-    long words."""
+    """The sample with each text's features."""
 
     def make():
         restorer = Restorer(decoder)
 
         def compute(texts: list) -> list[pa.Array]:
-            marks, lists = [], []
+            lists = []
             for t in texts:
                 low = (t or "").lower()
-                words = {restorer.word(c) for c in set(low.split())} | {w for _, _, w in restorer.spaced(low)}
-                words.discard("")
-                marks.append(min((w for w in words if len(w) > 8), default=low[:40], key=xxhash.xxh64_intdigest))
-                lists.append(sorted({f for w in words for f in features(w)}))
-            return [pa.array(marks, pa.string()), pa.array(lists, pa.list_(pa.string()))]
+                found = [*(restorer.word(c) for c in set(low.split())), *(w for _, _, w in restorer.spaced(low))]
+                lists.append(sorted({f for words in found for w in words.split() for f in features(w)}))
+            return [pa.array(lists, pa.list_(pa.string()))]
 
         return compute
 
-    added = [StructField("mark", StringType()), StructField("features", ArrayType(StringType()))]
-    return with_arrow_columns(sample, "text", added, make)
+    return with_arrow_columns(sample, "text", [StructField("features", ArrayType(StringType()))], make)
 
 
 def _specific(entries: dict[str, tuple[float, int]]) -> dict[str, float]:
@@ -264,7 +264,8 @@ def _specific(entries: dict[str, tuple[float, int]]) -> dict[str, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Model:
     """Character model of all ``docs``, lexicon and calibration from at most ``sample`` labelled ids of
-    each class. Texts that are near copies of each other teach once.
+    each class. Of labelled texts that are near copies of each other (five-word shingles, 0.8) the smallest id of each
+    class teaches. NULL and empty texts teach nothing; of an id with several texts each teaches.
 
     Without labelled rows of both classes every score is the share of class 1 among the labelled
     rows (one half if there are none).
@@ -277,7 +278,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     if not min(counts.values()):
         return model
     rows = materialize(rows.where("text <> ''"), "toxicity-sample")
-    learnt = materialize(_learning_rows(rows, decoder).drop("text").dropDuplicates(["mark", "label"]), "toxicity-features")
+    groups = near_duplicates(rows.select("doc_id", "text"), words=5).select("doc_id", "component_id").distinct()
+    teaching = rows.select("doc_id", "label").join(groups, "doc_id").groupBy("component_id", "label").agg(F.min("doc_id").alias("doc_id"))
+    taught = _learning_rows(rows.join(teaching.select("doc_id", "label"), ["doc_id", "label"], "left_semi"), decoder)
+    learnt = materialize(taught.drop("text"), "toxicity-features")
     n = {0: 0, 1: 0} | {r["label"]: r["count"] for r in learnt.groupBy("label").count().collect()}
     if not min(n.values()):
         return model
@@ -287,12 +291,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     weight = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1)) - DOUBT * error
     entries = (
-        seen.where(F.col("toxic") >= max(LEAST, SUPPORT * n[1]))
+        seen.where(F.col("toxic") >= LEAST)
         .withColumn("weight", weight)
         .where(F.col("weight") >= EVIDENCE)
-        .orderBy(F.desc("weight"), "feature")
-        .limit(ENTRIES)
-        .collect()
+        .collect()  # words of the bounded sample that stand in few clean texts or none
     )
     model.lexicon = _specific({r["feature"]: (r["weight"], r["toxic"]) for r in entries})
     sums = with_sums(rows, model).groupBy("label", F.round("sum", 1).alias("sum")).count().collect()
