@@ -96,3 +96,44 @@ def test_spine_of_a_far_range_is_dealt_in_blocks(spark):
     assert spine.where("entity = 2").isEmpty()
     days = panel.time_spine(df.select("entity", F.to_date("t").alias("t")), ["entity"], "t", "day").where("entity = 1").orderBy("pos").collect()
     assert [str(r["t"]) for r in days] == ["2024-02-28", "2024-02-29", "2024-03-01"]
+
+
+def test_reports_meet_all_centres_in_reach(spark):
+    """Against all pairs: near the date line, near a pole, with equal places and places off the globe."""
+    import math
+    import random
+
+    rng = random.Random(4)
+    places = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(150)]
+    places += [(rng.uniform(-1, 1), rng.choice([-180, 180]) * rng.uniform(0.995, 1)) for _ in range(60)]
+    places += [(rng.choice([-1, 1]) * rng.uniform(88, 90), rng.uniform(-180, 180)) for _ in range(60)]
+    places += [(40 + rng.uniform(-1, 1), -3.5 + rng.uniform(-1, 1)) for _ in range(100)] + [(90.0, 0.0), (-90.0, 5.0), (0.0, 180.0), (0.0, -180.0)]
+    centres = [(i, *places[i * 3]) for i in range(100)] + [(1000, None, 1.0), (1001, 91.0, 1.0)]
+    reports = spark.createDataFrame([(i, *p) for i, p in enumerate(places)] + [(9999, None, 0.0)], "id int, latitude double, longitude double")
+    found = spatial.near_centres(reports, spark.createDataFrame(centres, "centre int, centre_lat double, centre_lon double"))
+    outer = max(b[2] for b in spatial.DEFAULTS.bands_km)
+
+    def km(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+        return 2 * spatial.EARTH_RADIUS_NM * spatial.KM_PER_NM * math.asin(math.sqrt(min(1, h)))
+
+    want = {(i, c[0]) for i, p in enumerate(places) for c in centres[:100] if km(c[1], c[2], *p) < outer}
+    got = [(r["id"], r["centre"]) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 300
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hexagons_are_the_nearest_ones(spark):
+    import random
+
+    rng = random.Random(2)
+    points = [(rng.uniform(-3, 3), rng.uniform(-3, 3)) for _ in range(200)]
+    df = spark.createDataFrame([(y, x, 1.0) for x, y in points], "latitude double, longitude double, altitude double")
+    got = {(r["hex_q"], r["hex_r"]): r["n"] for r in spatial.hex_grid(df, 0.5).collect()}
+    want = {}
+    for x, y in points:
+        middle = lambda h: (0.5 * 3**0.5 * (h[0] + h[1] / 2), 0.75 * h[1])
+        best = min(((q, r) for q in range(-12, 13) for r in range(-8, 9)), key=lambda h: (middle(h)[0] - x) ** 2 + (middle(h)[1] - y) ** 2)
+        want[best] = want.get(best, 0) + 1
+    assert got == want

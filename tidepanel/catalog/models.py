@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.catalog.registry import query
 from tidepanel.catalog.series import stored_table
-from tidepanel.operators import arx, baselines, evaluate, models, stats
+from tidepanel.operators import arma, arx, baselines, evaluate, models, stats
 from tidepanel.operators.profiles import crosstab_margins
 from tidepanel.config import DEFAULTS
 from tidepanel.plans.model_table import feature_columns
@@ -182,6 +182,28 @@ def arx_grid(spark, root):
     )
 
 
+@query("arma_grid")
+def arma_grid(spark, root):
+    """All orders with and without error terms; the best of each entity is marked."""
+    fits, best, _ = arma.search(_train_series(stored_table(spark, root)), "acps", EXOG)
+    chosen = best.select("entity", *arma.Order._fields, F.lit(True).alias("is_best"))
+    return fits.join(chosen, ["entity", *arma.Order._fields], "left").select(
+        "entity", *arma.Order._fields, "n", "sse", "aic", F.coalesce("is_best", F.lit(False)).alias("is_best")
+    )
+
+
+@query("arma_forecast")
+def arma_forecast(spark, root):
+    """Every day of each entity after the training rows, order (1,0,1) with its weekly twin."""
+    table = stored_table(spark, root)
+    train = _train_series(table)
+    step = (F.col("row_index") - F.floor(F.col("n_rows") * F.lit(DEFAULTS.train_share)) + 1).cast("int")
+    future = table.withColumn("step", step).filter("step >= 1")
+    fits, residuals = arma.fit_orders(train, "acps", EXOG, [arma.Order()])
+    out = arma.forecast(fits, residuals, train, future, "acps", EXOG)
+    return out.join(future.select("entity", "step", "dt", "acps"), ["entity", "step"]).select("entity", "step", "dt", "acps", "forecast")
+
+
 # ---------------------------------------------------------------- end to end
 
 

@@ -12,7 +12,7 @@ from tidepanel.catalog.spatial import _density_sql, rounded_density
 from tidepanel.operators.stats import quantiles
 from tidepanel.session import materialize, new_path
 from tidepanel.sources import bindings
-from tidepanel.streaming import live
+from tidepanel.streaming import keyed, live
 
 CLOSED = "ts_hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
 
@@ -87,3 +87,36 @@ def stream_classify(spark, root):
     hourly = live.hourly_movements(live.event_stream(spark, f"{root}/events.parquet"))
     out = live.classify(hourly, cuts).select("entity", "ts_hour", "total_movements", "live_class")
     return _landed(spark, out, "live-class")
+
+
+@query(
+    "stream_revised_hours",
+    "SELECT entity, ts_hour, arrivals, departures, arrivals + departures AS total_movements FROM hp0",
+    "hp0",
+)
+def stream_revised_hours(spark, root):
+    """Half of the events come first, the others, of the same hours, in a second run: the stored hours are corrected, none is closed."""
+    landing, out, progress = (new_path(spark, f"revised{x}") for x in ("-landing", "", "-progress"))
+    source = spark.read.parquet(f"{root}/events.parquet")
+    for half in (0, 1):
+        source.where(F.col("event_id") % 2 == half).write.mode("append").parquet(landing)
+        keyed.revise_hours(live.event_stream(spark, landing, source.schema), out, progress)
+    return keyed.revised_hours(spark, out)
+
+
+@query(
+    "stream_flight_states",
+    """SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type,
+       arg_max(value, (ts, event_id)) AS value, count(*) AS n_polls FROM events GROUP BY user_id""",
+)
+def stream_flight_states(spark, root):
+    """The latest state of every key over its polls, half of which come late."""
+    landing, out, progress = (new_path(spark, f"states{x}") for x in ("-landing", "", "-progress"))
+    source = spark.read.parquet(f"{root}/events.parquet")
+    for half in (1, 0):
+        source.where(F.col("event_id") % 2 == half).write.mode("append").parquet(landing)
+        polls = live.event_stream(spark, landing, source.schema).select("user_id", "ts", "event_id", "event_type", "value")
+        states = keyed.latest_states(polls, "user_id", "ts", "event_id", ["event_type", "value"], "3650 days", 86_400_000)
+        keyed.run_batches(states, out, progress, "update")
+    found = keyed.current(keyed.batches(spark, out, states.schema), "user_id")
+    return found.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "event_type", "value", "n_polls")

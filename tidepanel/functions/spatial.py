@@ -11,6 +11,7 @@ from tidepanel.config import DEFAULTS, Settings
 
 EARTH_RADIUS_NM = 3440.065
 KM_PER_NM = 1.852
+KM_PER_DEGREE = EARTH_RADIUS_NM * KM_PER_NM * 3.141592653589793 / 180
 
 
 def haversine_nm(lat1: Column | float, lon1: Column | float, lat2: Column, lon2: Column) -> Column:
@@ -71,3 +72,64 @@ def density_grid(snapshots: DataFrame, cell: float = 0.1) -> DataFrame:
         F.floor(F.col("latitude") / cell).alias("lat_cell"),
         F.floor(F.col("longitude") / cell).alias("lon_cell"),
     ).agg(F.count(F.lit(1)).alias("n"), F.avg("altitude").alias("mean_altitude"))
+
+
+def near_centres(reports: DataFrame, centres: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+    """Every report with every centre in whose bands it lies: ``reports``, ``centre``, ``distance_nm``, ``band``.
+
+    ``centres``: ``centre, centre_lat, centre_lon``, any number of them. Space is cut into cells as high as the
+    outermost band reaches. A centre is entered in all cells that its circle can touch (its longitudes widen towards the poles
+    and wrap around), a report looks only its own cell up, and the distance confirms. Reports or centres without a position or
+    off the globe have no cell.
+    """
+    reach = max(outer for _, _, outer in s.bands_km) / KM_PER_DEGREE
+    n = int(360 // reach) or 1
+    width = 360 / n
+
+    def lat_cell(c: Column) -> Column:
+        return F.floor((c + 90) / reach).cast("long")
+
+    def lon_cell(c: Column) -> Column:
+        return F.pmod(F.floor((c + 180) / width), F.lit(n)).cast("long")
+
+    def on_globe(lat: str, lon: str) -> Column:
+        return F.col(lat).between(-90, 90) & F.col(lon).between(-180, 180)
+
+    lat, lon = F.col("centre_lat"), F.col("centre_lon")
+    farthest = F.greatest(F.abs(lat - reach), F.abs(lat + reach))
+    # the circle's widest meridian; a circle around a pole touches all of them
+    spread = F.when(
+        farthest < 89.9, F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(reach))) / F.cos(F.radians(lat))))) + 1e-9
+    ).otherwise(F.lit(180.0))
+    first, last = F.floor((lon - spread + 180) / width).cast("long"), F.floor((lon + spread + 180) / width).cast("long")
+    entered = centres.where(on_globe("centre_lat", "centre_lon")).select(
+        "centre", "centre_lat", "centre_lon",
+        F.explode(F.sequence(lat_cell(lat - reach - 1e-9), lat_cell(lat + reach + 1e-9))).alias("_lat_cell"), first.alias("_first"), F.least(last, first + n - 1).alias("_last"),
+    ).select("centre", "centre_lat", "centre_lon", "_lat_cell", F.explode(F.transform(F.sequence("_first", "_last"), lambda i: F.pmod(i, F.lit(n)))).alias("_lon_cell"))
+    own = reports.where(on_globe("latitude", "longitude")).withColumns({"_lat_cell": lat_cell(F.col("latitude")), "_lon_cell": lon_cell(F.col("longitude"))})
+    met = own.join(entered, ["_lat_cell", "_lon_cell"])
+    nm = haversine_nm(lat, lon, F.col("latitude"), F.col("longitude"))
+    found = met.withColumn("distance_nm", nm).withColumn("band", band_label(F.col("distance_nm"), s.bands_km))
+    return found.where("band <> 'outside'").drop("_lat_cell", "_lon_cell", "centre_lat", "centre_lon")
+
+
+def centre_density(reports: DataFrame, centres: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+    """Aircraft per centre, snapshot time and band, for all centres at once."""
+    return near_centres(reports, centres, s).groupBy("centre", "snapshot_ts").agg(*density_columns(s))
+
+
+def hex_grid(snapshots: DataFrame, size: float = 0.1) -> DataFrame:
+    """Counts on hexagons with corners ``size`` degrees from their middle, named by axial coordinates."""
+    x, y = F.col("longitude"), F.col("latitude")
+    q, r = (x * (3**0.5 / 3) - y / 3) / size, y * (2 / 3) / size
+    near = lambda c: F.floor(c + 0.5)
+    placed = snapshots.withColumns({"_q": q, "_r": r}).withColumn("_s", -F.col("_q") - F.col("_r"))
+    off = {c: F.abs(near(F.col(c)) - F.col(c)) for c in ("_q", "_r", "_s")}
+    # of the three rounded coordinates, which must add up to 0, the one that was rounded most gives way
+    hex_q = F.when((off["_q"] > off["_r"]) & (off["_q"] > off["_s"]), -near(F.col("_r")) - near(F.col("_s"))).otherwise(near(F.col("_q")))
+    hex_r = F.when(
+        ~((off["_q"] > off["_r"]) & (off["_q"] > off["_s"])) & (off["_r"] > off["_s"]), -near(F.col("_q")) - near(F.col("_s"))
+    ).otherwise(near(F.col("_r")))
+    return placed.groupBy(hex_q.alias("hex_q"), hex_r.alias("hex_r")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("altitude").alias("mean_altitude")
+    )
