@@ -87,3 +87,31 @@ def test_forest_recall_and_order(spark):
     assert rp_forest.nearest(used.limit(0), used.limit(0)).count() == 0
     one = used.where("vec_id in (1, 2)")
     assert rp_forest.nearest(one, one.where("vec_id = 1"), share=1.0).count() == 1
+
+
+def test_forest_on_small_and_clustered_tables(spark):
+    rng = np.random.default_rng(8)
+    for n in (2, 5, 15, 25, 61, 121):
+        x = rng.standard_normal((n, 64))
+        df = vectors.usable(table(spark, [(i, v.tolist()) for i, v in enumerate(x)]), "vec_id", "embedding", zero=False)
+        got = {}
+        for r in rp_forest.nearest(df, df, k=20).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append(r["vec_id"])
+        s = np.float32(x).astype(float) @ np.float32(x).astype(float).T
+        np.fill_diagonal(s, -np.inf)
+        assert got == {i: list(np.argsort(-s[i], kind="stable")[: min(20, n - 1)]) for i in range(n)}, n
+    # far-apart clusters: much less than all rows is scored, and the nearest are found
+    centres = rng.standard_normal((40, 16)) * 10
+    x = np.concatenate([c + rng.standard_normal((200, 16)) for c in centres])
+    df = vectors.usable(table(spark, [(i, v.tolist()) for i, v in enumerate(x)]), "vec_id", "embedding", zero=False)
+    forest = rp_forest.fit(df)
+    leaf, scored, hits = forest.leaf_of(x), [], []
+    counts = np.array([np.bincount(leaf[:, t], minlength=forest.leaves) for t in range(leaf.shape[1])])
+    for i in range(0, len(x), 400):
+        seen = forest.visit(x[i], 0.03, counts, 400)
+        near = seen[np.arange(leaf.shape[1]), leaf].any(1)
+        s = x @ x[i]
+        s[i] = -np.inf
+        scored.append(near.mean())
+        hits.append(near[np.argsort(-s)[:20]].mean())
+    assert np.mean(scored) < 0.3 and np.mean(hits) >= 0.9, (np.mean(scored), np.mean(hits))

@@ -3,8 +3,8 @@
 The trees are fitted on a bounded sample; every row is put into one leaf of each tree. A query
 walks all trees through one priority queue: the side of a split that it lies on costs nothing,
 the other side costs its squared distance from the split, and leaves are visited in the order of
-that cost until a fixed share of all leaves has been. Rows of visited leaves are candidates; their
-inner products on the original vectors decide.
+that cost until a fixed share of all leaves has been, and until the leaves visited in one tree hold
+enough rows. Rows of visited leaves are candidates; their inner products on the original vectors decide.
 """
 
 from __future__ import annotations
@@ -26,7 +26,10 @@ from tidepanel.session import materialize
 TREES, DEPTH = 8, 7
 
 #: share of all leaves of all trees that a query visits; measured recall at 20 is 0.95 or more
-SHARE = 0.18
+SHARE = 0.16
+
+#: rows that the visited leaves of one tree must hold, or all leaves are visited
+LEAST = 400
 
 #: rows that the splits are fitted on; all rows are indexed
 SAMPLE = 16384
@@ -56,15 +59,17 @@ class Forest:
             out[:, t] = node - len(thresholds)
         return out
 
-    def visit(self, query: np.ndarray, share: float) -> np.ndarray:
-        """Which leaves a query visits: trees x leaves."""
+    def visit(self, query: np.ndarray, share: float, counts: np.ndarray | None = None, least: int = 0) -> np.ndarray:
+        """Which leaves a query visits: trees x leaves. ``counts`` are the rows of each leaf. A row is in one leaf of a
+        tree, so ``least`` rows of one tree are as many different candidates."""
         sides = self.directions @ query - self.thresholds
         inner = self.thresholds.shape[1]
         seen = np.zeros((len(self.thresholds), self.leaves), bool)
         left = math.ceil(share * seen.size)
+        held = np.zeros(len(seen), np.int64)
         queue = [(0.0, t, 0) for t in range(len(seen))]
         margins = sides.tolist()
-        while left and queue:
+        while queue and (left > 0 or (counts is not None and held.max() < least)):
             cost, tree, node = heapq.heappop(queue)
             while node < inner:  # follow the near side, leave the far one in the queue
                 side = margins[tree][node]
@@ -72,6 +77,8 @@ class Forest:
                 heapq.heappush(queue, (cost + side * side, tree, 2 * node + 1 + (not right)))
                 node = 2 * node + 1 + right
             seen[tree, node - inner] = True
+            if counts is not None:
+                held[tree] += counts[tree, node - inner]
             left -= 1
         return seen
 
@@ -79,7 +86,8 @@ class Forest:
 def fit(rows: DataFrame, trees: int = TREES, depth: int = DEPTH, sample: int = SAMPLE, seed: int = 7) -> Forest | None:
     """A forest from at most ``sample`` rows, the first in the order of a hash; None without rows.
 
-    Directions are random, thresholds are medians of what reaches the split.
+    A split's direction is that between two random rows of those that reach it (any direction, if these are equal or fewer
+    than two), its threshold their median.
     """
     chosen = rows.orderBy(F.xxhash64("vec_id", F.lit("forest")), "vec_id").select("v").limit(sample).toArrow()
     x = matrix(chosen["v"])
@@ -88,13 +96,17 @@ def fit(rows: DataFrame, trees: int = TREES, depth: int = DEPTH, sample: int = S
     rng = np.random.default_rng(seed)
     inner = 2**depth - 1
     directions = rng.standard_normal((trees, inner, x.shape[1]))
-    directions /= np.linalg.norm(directions, axis=2, keepdims=True)
     thresholds = np.zeros((trees, inner))
     for t in range(trees):
         node = np.zeros(len(x), int)
         for k in range(inner):
-            here = node == k
-            if here.any():
+            here = np.flatnonzero(node == k)
+            if len(here) > 1:
+                one, other = rng.choice(here, 2, replace=False)
+                if (x[one] != x[other]).any():
+                    directions[t, k] = x[one] - x[other]
+            directions[t, k] /= np.linalg.norm(directions[t, k])
+            if len(here):
                 along = x[here] @ directions[t, k]
                 thresholds[t, k] = np.median(along)
                 node[here] = 2 * k + 1 + (along > thresholds[t, k])
@@ -110,6 +122,25 @@ def _with_bytes(df: DataFrame, name: str, of) -> DataFrame:
     return with_arrow_columns(df, "v", [StructField(name, BinaryType())], make)
 
 
+def leaf_counts(rows: DataFrame, trees: int, leaves: int) -> np.ndarray:
+    """Rows of each leaf, trees x leaves, from the ``leaf`` bytes of all rows; one row a leaf reaches the driver."""
+    kind = np.uint8 if leaves <= 256 else np.uint16
+
+    def count(batches):
+        total = np.zeros((trees, leaves), np.int64)
+        for batch in batches:
+            leaf = np.frombuffer(b"".join(batch.column(0).to_pylist()), kind).reshape(-1, trees)
+            for t in range(trees):
+                total[t] += np.bincount(leaf[:, t], minlength=leaves)
+        tree, at = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(at), pa.array(total[tree, at])], ["tree", "at", "n"])
+
+    out = np.zeros((trees, leaves), np.int64)
+    for r in rows.select("leaf").mapInArrow(count, "tree long, at long, n long").groupBy("tree", "at").agg(F.sum("n").alias("n")).collect():
+        out[r["tree"], r["at"]] = r["n"]
+    return out
+
+
 def exact(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Inner products pair by pair, added up component after component: equal vectors give equal scores."""
     total = np.zeros(len(queries))
@@ -118,12 +149,14 @@ def exact(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return total
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, share: float = SHARE, forest: Forest | None = None) -> DataFrame:
+def nearest(
+    vectors: DataFrame, queries: DataFrame, k: int = 20, share: float = SHARE, forest: Forest | None = None, least: int = LEAST
+) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query the ``k`` nearest rows among its candidates.
 
     Both tables hold ``vec_id, v`` (see ``usable``). Rows with the query's own id are no candidates of
-    it. A query whose visited leaves hold fewer
-    than ``k`` rows gets what they hold. Ties go to the smaller id. Rows that repeat an id are candidates each;
+    it. A query visits leaves until ``share`` of them and ``least`` rows are reached, so tables of up to
+    ``least`` rows are searched whole and no list is short. Ties go to the smaller id. Rows that repeat an id are candidates each;
     queries that repeat one are one query, with the smallest of their vectors. Empty tables give an
     empty result.
     """
@@ -133,7 +166,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, share: float =
     trees, leaves = forest.thresholds.shape[0], forest.leaves
     rows = materialize(_with_bytes(vectors, "leaf", forest.leaf_of), "forest-rows")
     asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = _with_bytes(asked, "visits", lambda q: [np.packbits(forest.visit(x, share)) for x in q])
+    counts = leaf_counts(rows, trees, leaves)
+    asked = _with_bytes(asked, "visits", lambda q: [np.packbits(forest.visit(x, share, counts, least)) for x in q])
     asked = materialize(asked, "forest-queries")
     kind = np.uint8 if leaves <= 256 else np.uint16
 
