@@ -3,8 +3,11 @@
 A multinomial logistic regression on word n-grams tells licence families apart and from ordinary
 text. It is trained on notices written after templates, with words changed and others around them,
 and on paragraphs of a bounded sample of the corpus. Its probabilities are calibrated on examples
-that it was not trained on. A paragraph counts as a notice only if it also repeats most of one of
+that it was not trained on. A passage counts as a notice only if it also repeats most of one of
 its family's templates.
+
+A paragraph is a run of lines up to a blank one. Its passages are its single lines and, as notices are
+often wrapped, the runs of lines that together repeat most of a template.
 """
 
 from __future__ import annotations
@@ -29,11 +32,15 @@ TEMPLATES = {
         "licensed under the apache license version 2.0",
         "you may not use this file except in compliance with the license you may obtain a copy of the license at apache.org",
         "distributed under the apache 2.0 license",
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind",
+        "apache license version 2.0 january 2004 terms and conditions for use reproduction and distribution",
     ),
     "BSD-3-Clause": (
         "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
         "use of this source code is governed by a bsd style license",
         "released under the bsd 3 clause license",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties",
     ),
     "CC-BY-4.0": (
         "licensed under cc by 4.0",
@@ -55,19 +62,26 @@ TEMPLATES = {
     "GPL-2.0": (
         "licensed under the gnu general public license version 2",
         "this program is free software you can redistribute it under the terms of the gnu general public license version 2",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+        "gnu general public license version 2 june 1991 copyright c 1989 1991 free software foundation",
     ),
     "GPL-3.0": (
         "this work is licensed under the gnu general public license version 3",
         "this program is free software you can redistribute it under the terms of the gnu general public license version 3",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+        "gnu general public license version 3 29 june 2007 copyright c 2007 free software foundation",
     ),
     "LGPL-3.0": (
         "licensed under the gnu lesser general public license version 3",
         "this library is free software you can redistribute it under the terms of the gnu lesser general public license",
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     ),
     "MIT": (
         "released under the mit license",
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
         "licensed under the mit license",
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability",
     ),
     "MPL-2.0": (
         "this source code form is subject to the terms of the mozilla public license version 2.0",
@@ -92,7 +106,7 @@ NEAR_MISSES = (
     "the mozilla foundation and the gnu project distribute free software to the public",
 )
 
-#: share of a template's word pairs that a paragraph must repeat
+#: share of a template's word pairs that a passage must repeat
 CONFIRM = 0.75
 
 #: ids of documents whose paragraphs stand for ordinary text, and distinct kinds of paragraph taken from them
@@ -122,6 +136,12 @@ class Vocabulary:
         grams = sorted({g for t in texts for g in _grams(words_of(t))}, key=lambda g: (len(g), g))
         self.number = {g: i for i, g in enumerate(grams)}
         self.single = {g[0] for g in grams if len(g) == 1}
+        #: distinct word pairs of each template, and the templates of each pair
+        self.pairs = [_grams(words_of(t), (2,)) for ts in TEMPLATES.values() for t in ts]
+        self.templates: dict[tuple[str, ...], list[int]] = {}
+        for i, pairs in enumerate(self.pairs):
+            for pair in pairs:
+                self.templates.setdefault(pair, []).append(i)
 
     def features(self, words: list[str]) -> list[int]:
         """Sorted numbers of the n-grams of a paragraph that the vocabulary has."""
@@ -254,33 +274,133 @@ HIT_ARROW = pa.struct(
 )
 
 
+def paragraphs(text: str) -> list[list[tuple[int, int, list[str]]]]:
+    """Runs of lines that hold more than white space, each line as its start, its end and its words."""
+    out: list[list[tuple[int, int, list[str]]]] = []
+    open_, end = False, 0
+    for m in LINE.finditer(text):
+        # two line ends in a row are a blank line
+        if text.count("\n", end, m.start()) > 1 or text.count("\r", end, m.start()) > 1:
+            open_ = False
+        end = m.end()
+        if m[0].isspace():
+            open_ = False
+            continue
+        if not open_:
+            out.append([])
+        out[-1].append((m.start(), m.end(), words_of(m[0])))
+        open_ = True
+    return out
+
+
+def wrapped_runs(vocabulary: Vocabulary, lines: list[list[str]]) -> list[tuple[int, int]]:
+    """Runs of two or more lines, as first and last line, that repeat ``CONFIRM`` of a template.
+
+    For each template the word pairs of it are read in their order. As soon as those of a stretch suffice, the stretch is
+    cut at its beginning as far as they still do, then grown by lines next to it that add pairs; the search
+    goes on behind it. One pass over the words; the next word of a line's last one is the first of the line after.
+    """
+    seen: dict[int, list[tuple[int, int, tuple[str, str]]]] = {}
+    last, last_line = None, 0
+    for i, words in enumerate(lines):
+        for w in words:
+            if last is not None:
+                pair = (last, w)
+                for t in vocabulary.templates.get(pair, ()):
+                    seen.setdefault(t, []).append((last_line, i, pair))
+            last, last_line = w, i
+    runs = set()
+    for t, places in seen.items():
+        need = CONFIRM * len(vocabulary.pairs[t])
+        if len({p for _, _, p in places}) < need:
+            continue
+        have: dict[tuple[str, str], int] = {}
+        first = at = floor = 0
+        while at < len(places):
+            pair = places[at][2]
+            have[pair] = have.get(pair, 0) + 1
+            at += 1
+            if len(have) < need:
+                continue
+            while True:  # the shortest stretch that ends here
+                old = places[first][2]
+                if have[old] == 1 and len(have) - 1 < need:
+                    break
+                have[old] -= 1
+                if not have[old]:
+                    del have[old]
+                first += 1
+            start, stop = places[first][0], places[at - 1][1]
+            while first > floor and places[first - 1][2] not in have and places[first - 1][1] >= start - 1:
+                first -= 1
+                have[places[first][2]] = 1
+                start = places[first][0]
+            while at < len(places) and places[at][2] not in have and places[at][0] <= stop + 1:
+                have[places[at][2]] = 1
+                stop = places[at][1]
+                at += 1
+            if stop > start:
+                runs.add((start, stop))
+            have, first, floor = {}, at, at
+    return sorted(runs)
+
+
+def _words(lines: list[tuple[int, int, list[str]]], first: int, last: int) -> list[str]:
+    return [w for _, _, words in lines[first : last + 1] for w in words]
+
+
+def explained(words: list[str], family: str, by: str) -> bool:
+    """Whether the word pairs that a passage shares with its family's templates are mostly those of another family too. Inside
+    a longer notice of that family such a passage is a part of it (versions of one licence share most words)."""
+    shared = _grams(words, (2,)) & {p for t in TEMPLATES[family] for p in _grams(words_of(t), (2,))}
+    return len(shared & {p for t in TEMPLATES[by] for p in _grams(words_of(t), (2,))}) >= CONFIRM * len(shared)
+
+
+def _judge(model: Model, words: list[str]) -> tuple[str, float, float] | None:
+    """Family, probability and similarity of a passage that the classifier does not call unknown."""
+    features = model.vocabulary.features(words)
+    if not features:
+        return None  # the same as an empty passage: unknown
+    chances = model.chances(features)
+    best = int(chances.argmax())
+    family = model.families[best]
+    return None if family == UNKNOWN else (family, float(chances[best]), template_similarity(words, family))
+
+
 def hits_of(model: Model, text: str) -> tuple[int, list[dict]]:
-    """How many paragraphs a text has, and those that the classifier does not call unknown."""
-    found, n = [], 0
-    for n, m in enumerate(LINE.finditer(text), 1):
-        words = words_of(m[0])
-        features = model.vocabulary.features(words)
-        if not features:
-            continue  # the same as an empty paragraph: unknown
-        chances = model.chances(features)
-        best = int(chances.argmax())
-        family = model.families[best]
-        if family != UNKNOWN:
-            similarity = template_similarity(words, family)
+    """How many paragraphs a text has, and the passages that the classifier does not call unknown."""
+    found = []
+    parts = paragraphs(text)
+    for n, lines in enumerate(parts):
+        hits = []
+        for i, (start, end, words) in enumerate(lines):
+            if judged := _judge(model, words):
+                hits.append((i, i, start, end, judged))
+        if len(lines) > 1:
+            # short runs first, so that a run meets all passages inside it
+            for i, j in sorted(wrapped_runs(model.vocabulary, [words for _, _, words in lines]), key=lambda r: (r[1] - r[0], r)):
+                judged = _judge(model, _words(lines, i, j))
+                inside = [h for h in hits if i <= h[0] and h[1] <= j]
+                if judged is None or judged[2] < CONFIRM or any(h[4][2] >= CONFIRM and h[4][0] == judged[0] for h in inside):
+                    continue
+                hits = [h for h in hits if h not in inside or not (h[4][2] < CONFIRM or explained(_words(lines, *h[:2]), h[4][0], judged[0]))]
+                hits.append((i, j, lines[i][0], lines[j][1], judged))
+        for _, _, start, end, (family, probability, similarity) in sorted(hits, key=lambda h: (h[2], h[3])):
             found.append(
-                dict(paragraph=n - 1, start=m.start(), length=len(m[0]), family=family, probability=float(chances[best]), similarity=similarity, confirmed=similarity >= CONFIRM)
+                dict(paragraph=n, start=start, length=end - start, family=family, probability=probability, similarity=similarity, confirmed=similarity >= CONFIRM)
             )
-    return n, found
+    return len(parts), found
 
 
 def scan(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All rows of ``df`` with ``n_paragraphs``, ``hits`` and ``licenses``.
 
-    A paragraph is a line of the whole text, however long. ``hits`` are the paragraphs that the
-    classifier gives to a family, with their place in the text (characters), the calibrated
-    probability, the similarity to the family's nearest template and whether that confirms them;
-    ``licenses`` are the confirmed families in alphabetical order. A NULL or empty text has no
-    paragraph. Rows may repeat; each is scanned. Columns of those names are replaced.
+    A paragraph is a run of lines up to a blank one, of the whole text, however long. ``hits`` are the passages
+    (lines, and runs of lines that together repeat most of a template) that the classifier gives to a
+    family, with their paragraph, their place in the text (characters), the calibrated probability, the
+    similarity to the family's nearest template and whether that confirms them; of equally likely families
+    the first in alphabetical order. ``licenses`` are the confirmed families in alphabetical order. A NULL or empty
+    text has no paragraph. Rows may repeat, NULL keys too; each is scanned. Columns of those names are replaced.
     """
 
     def make():
