@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tidepanel.catalog.registry import query
 from tidepanel.catalog.series import stored_table
-from tidepanel.operators import arma, arx, baselines, evaluate, models, stats
+from tidepanel.operators import arma, arx, evaluate, models, stats
 from tidepanel.operators.profiles import crosstab_margins
-from tidepanel.config import DEFAULTS
+from tidepanel.config import CLUSTERED, EXOG, LIGHT
+from tidepanel.plans.forecast_run import days_after_training, forecast_run, train_series
 from tidepanel.plans.model_table import feature_columns
-from tidepanel.session import materialize, new_path
-
-# The lighter of the two known settings; ``models.boosted_regressor`` defaults to the other.
-LIGHT = {"rounds": 100, "depth": 3, "step": 0.1, "leaf": 2}
+from tidepanel.session import materialize, new_path, shared_folder
 
 
 def splits(table):
@@ -100,9 +96,6 @@ def model_roundtrip(spark, root):
 
 # ---------------------------------------------------------------- clusters
 
-CLUSTERED = ("total_movements", "arrivals", "departures", "dow", "month", "is_weekend", "is_holiday")
-
-
 def _vectors(spark, root):
     table = stored_table(spark, root)
     scaled = stats.standardize(table.fillna(0, list(CLUSTERED)), ["entity"], CLUSTERED)
@@ -144,28 +137,17 @@ def cluster_profile(spark, root):
 
 # ---------------------------------------------------------------- autoregression
 
-EXOG = ("temperature_2m", "wind_speed_10m", "precipitation")
-
-
-def _train_series(table):
-    """Training rows as a gap-free series from 0."""
-    return table.filter("split = 'train'").withColumns(
-        {"pos": F.col("row_index"), "n_steps": F.floor(F.col("n_rows") * F.lit(DEFAULTS.train_share))}
-    )
-
-
 @query("arx_fit")
 def arx_fit(spark, root):
-    return arx.fit(_train_series(stored_table(spark, root)), "acps", EXOG)
+    return arx.fit(train_series(stored_table(spark, root)), "acps", EXOG)
 
 
 @query("arx_forecast")
 def arx_forecast(spark, root):
     """Every day of each entity after the training rows, forecast from those."""
     table = stored_table(spark, root)
-    train = _train_series(table)
-    step = (F.col("row_index") - F.floor(F.col("n_rows") * F.lit(DEFAULTS.train_share)) + 1).cast("int")
-    future = table.withColumn("step", step).filter("step >= 1")
+    train = train_series(table)
+    future = days_after_training(table)
     out = arx.forecast(arx.fit(train, "acps", EXOG), train, future, "acps", EXOG)
     return out.join(future.select("entity", "step", "dt", "acps"), ["entity", "step"]).select(
         "entity", "step", "dt", "acps", "forecast"
@@ -175,7 +157,7 @@ def arx_forecast(spark, root):
 @query("arx_grid")
 def arx_grid(spark, root):
     """All orders with their AIC; the best of each entity is marked."""
-    fits, best = arx.search(_train_series(stored_table(spark, root)), "acps", EXOG)
+    fits, best = arx.search(train_series(stored_table(spark, root)), "acps", EXOG)
     chosen = best.select("entity", "p", "d", "seasonal", F.lit(True).alias("is_best"))
     return fits.join(chosen, ["entity", "p", "d", "seasonal"], "left").select(
         "entity", "p", "d", "seasonal", "n", "sse", "aic", F.coalesce("is_best", F.lit(False)).alias("is_best")
@@ -185,7 +167,7 @@ def arx_grid(spark, root):
 @query("arma_grid")
 def arma_grid(spark, root):
     """All orders with and without error terms; the best of each entity is marked."""
-    fits, best, _ = arma.search(_train_series(stored_table(spark, root)), "acps", EXOG)
+    fits, best, _ = arma.search(train_series(stored_table(spark, root)), "acps", EXOG)
     chosen = best.select("entity", *arma.Order._fields, F.lit(True).alias("is_best"))
     return fits.join(chosen, ["entity", *arma.Order._fields], "left").select(
         "entity", *arma.Order._fields, "n", "sse", "aic", F.coalesce("is_best", F.lit(False)).alias("is_best")
@@ -196,9 +178,8 @@ def arma_grid(spark, root):
 def arma_forecast(spark, root):
     """Every day of each entity after the training rows, order (1,0,1) with its weekly twin."""
     table = stored_table(spark, root)
-    train = _train_series(table)
-    step = (F.col("row_index") - F.floor(F.col("n_rows") * F.lit(DEFAULTS.train_share)) + 1).cast("int")
-    future = table.withColumn("step", step).filter("step >= 1")
+    train = train_series(table)
+    future = days_after_training(table)
     fits, residuals = arma.fit_orders(train, "acps", EXOG, [arma.Order()])
     out = arma.forecast(fits, residuals, train, future, "acps", EXOG)
     return out.join(future.select("entity", "step", "dt", "acps"), ["entity", "step"]).select("entity", "step", "dt", "acps", "forecast")
@@ -209,30 +190,5 @@ def arma_forecast(spark, root):
 
 @query("forecast_end_to_end")
 def forecast_end_to_end(spark, root):
-    """Table, baselines, models, errors on the test rows, comparison by MAE."""
-    table = stored_table(spark, root)
-    train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
-    features = feature_columns(table)
-    rows = models.as_doubles(test, features)
-    fitted = {
-        "boosted_trees": models.fit(train, features, [models.boosted_regressor(**LIGHT)]),
-        "linear": models.fit(train, features, [models.linear_regressor()]),
-    }
-    parts = [
-        m.transform(rows).select(F.lit(name).alias("model"), "acps", F.col("acps_pred").alias("predicted"))
-        for name, m in fitted.items()
-    ]
-    series = table.withColumns({"pos": F.col("row_index"), "n_steps": F.col("n_rows")}).drop("split")
-    shifted = baselines.offset_baselines(
-        baselines.train_then_test(series), "acps", {"previous_day": 1, "same_day_last_week": 7}
-    )
-    parts.append(
-        evaluate.showdown(
-            shifted, "acps", {"previous_day": "previous_day", "same_day_last_week": "same_day_last_week"}, ["entity"]
-        ).select("model", "acps", "predicted")
-    )
-    scored = evaluate.regression_metrics(
-        reduce(lambda a, b: a.unionByName(b), parts), "acps", "predicted", ["model"]
-    )
-    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("mae", "rmse", "r2")])
-    return evaluate.compare_models(scored.select("model", F.inline(cells)), [], ("mae", "rmse", "r2"))
+    """Table, baselines, autoregression, models, classifier, all stored; errors on the test rows, comparison by MAE."""
+    return forecast_run(stored_table(spark, root), f"{shared_folder(spark)}/forecast-runs").comparison

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepanel.catalog.models import LIGHT, splits
+from tidepanel.catalog.models import splits
 from tidepanel.catalog.registry import WEATHER, query
 from tidepanel.catalog.series import r9, stored_table
 from tidepanel.catalog.target import daily_scored
-from tidepanel.config import WEATHER_FIELDS, WEATHER_PRESETS
+from tidepanel.config import LIGHT, WEATHER_FIELDS, WEATHER_PRESETS
 from tidepanel.operators import evaluate, lookups, models, scoring
 from tidepanel.operators.target import DAILY_PHASE, attach_score, fixed_class, with_phase
+from tidepanel.plans.forecast_run import Estimator, fit_or_load
 from tidepanel.plans.model_table import feature_columns
-from tidepanel.session import materialize
+from tidepanel.session import materialize, shared_folder
 from tidepanel.sources import bindings
 
 
@@ -107,39 +108,45 @@ def scenario_features(spark, root):
 
 
 def _fitted(spark, root):
-    """A model on the columns a scenario can have, with the rows it was learnt from and the scored
-    history; all from one stored panel."""
+    """A score model and a class model on the columns a scenario can have, with the rows they were learnt from and the
+    scored history; all from one stored panel. Models of the same training rows are loaded, not fitted again."""
     panel = materialize(bindings.daily_panel(spark, root), "panel")
     table = stored_table(spark, root, panel)
     known = {*WEATHER_FIELDS, "wind_direction_10m", "wind_dir_sin", "wind_dir_cos"}
     features = [c for c in feature_columns(table) if c not in WEATHER or c in known]
     train, _ = splits(table)
-    model = models.fit(train, features, [models.boosted_regressor(**LIGHT)])
+    wanted = {
+        "score": Estimator([models.boosted_regressor(**LIGHT)]),
+        "class": Estimator(models.boosted_classifier(**LIGHT), classes=True),
+    }
+    store = fit_or_load(train, features, wanted, f"{shared_folder(spark)}/scenario-models")
     history = materialize(attach_score(with_phase(panel, "dt"), DAILY_PHASE, ("acps",)), "history")
-    return table, features, model, history
+    return table, store, history
 
 
-def _predict(model, features, rows):
-    """Model columns only as doubles; keys and dates stay as they are."""
-    return model.transform(models.as_doubles(rows, features))
+def _predict(store, rows):
+    """Score and class of each row. Model columns only as doubles; keys and dates stay as they are."""
+    scored = store.models["score"].transform(models.as_doubles(rows, store.features))
+    inner = ["features", *[f"{c}_in" for c in store.features]]
+    return store.models["class"].transform(scored.drop(*inner)).withColumnRenamed("congestion_pred", "classifier_class")
 
 
 @query("scenario_score")
 def scenario_score(spark, root):
     """Scores one and three days out with the change against the last actual score."""
-    _, features, model, history = _fitted(spark, root)
+    _, store, history = _fitted(spark, root)
     asked = scenarios(spark, root)
     ahead = asked.select(
         "scenario_id", "entity", F.col("dt").alias("asked_dt"), "total_movements", "preset",
         F.explode(F.array(F.lit(1), F.lit(3))).alias("horizon"),
     ).withColumn("dt", F.date_add("asked_dt", F.col("horizon") - 1))
     rows = scoring.scenario_features(ahead, history, bindings.holidays(spark, root))
-    scored = _predict(model, features, rows).join(
+    scored = _predict(store, rows).join(
         scoring.last_actual(history).select("entity", "last_acps"), "entity"
     )
     return scored.select(
         "scenario_id", "entity", "horizon", "dt", F.round("acps_pred", 2).alias("predicted"),
-        fixed_class(F.col("acps_pred")).alias("classification"),
+        fixed_class(F.col("acps_pred")).alias("classification"), "classifier_class",
         F.round(F.col("acps_pred") - F.col("last_acps"), 2).alias("delta_vs_last"),
     )
 
@@ -147,7 +154,7 @@ def scenario_score(spark, root):
 @query("forecast_3d")
 def forecast_3d(spark, root):
     """The next three days of every entity: assumed volume, score, class and interval."""
-    table, features, model, history = _fitted(spark, root)
+    table, store, history = _fitted(spark, root)
     assumed = lookups.movement_assumption(history, "dt", F.lit("2000-01-01").cast("date"))
     days = scoring.next_days(history, 3).withColumns(
         {"dow": F.weekday("dt"), "month": F.month("dt"), "preset": F.lit("clear")}
@@ -157,12 +164,12 @@ def forecast_3d(spark, root):
         F.col("movements_assumed").cast("long").alias("total_movements"),
     )
     rows = scoring.scenario_features(asked, history, bindings.holidays(spark, root))
-    test = _predict(model, features, table.filter("split = 'test'"))
+    test = _predict(store, table.filter("split = 'test'"))
     spread = test.groupBy("entity").agg(F.stddev_samp(F.col("acps") - F.col("acps_pred")).alias("residual_std"))
-    out = _predict(model, features, rows).join(spread, "entity")
+    out = _predict(store, rows).join(spread, "entity")
     reach = F.col("residual_std") * evaluate.DEFAULTS.interval_factor
     return out.select(
         "entity", "dt", "days_ahead", F.col("total_movements").cast("long").alias("movements_assumed"),
-        F.round("acps_pred", 2).alias("predicted"), fixed_class(F.col("acps_pred")).alias("classification"),
+        F.round("acps_pred", 2).alias("predicted"), fixed_class(F.col("acps_pred")).alias("classification"), "classifier_class",
         F.round(F.col("acps_pred") - reach, 2).alias("low"), F.round(F.col("acps_pred") + reach, 2).alias("high"),
     )

@@ -84,3 +84,9 @@ class Settings:
 
 
 DEFAULTS = Settings()
+
+# The lighter of the two known settings of boosted trees (``models.boosted_regressor`` defaults to the
+# other), the columns that days are clustered by, the outside series of the autoregression.
+LIGHT = {"rounds": 100, "depth": 3, "step": 0.1, "leaf": 2}
+CLUSTERED = ("total_movements", "arrivals", "departures", "dow", "month", "is_weekend", "is_holiday")
+EXOG = ("temperature_2m", "wind_speed_10m", "precipitation")
