@@ -119,3 +119,22 @@ def test_stream_dedupe_within_the_delay(spark, tmp_path):
     live.run_available(live.first_seen(live.event_stream(spark, src), "event_id"), out, progress)
     assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == [1, 2]
     assert spark.read.parquet(out).filter(F.col("ts").isNull()).count() == 0
+
+
+def test_bad_records_are_put_aside_with_their_text(spark):
+    board = json.dumps({"airport": {"pluginData": {"schedule": {"arrivals": {"data": []}}}}})
+    hours = json.dumps({"hourly": {"time": ["2024-01-01T00:00"], "temperature_2m": [1.5]}})
+    cases = [
+        (1, board, None), (2, board[:-3], "broken"), (3, "<html>busy</html>", "broken"), (4, None, "empty"), (5, " \n", "empty"),
+        (6, "{}", "incomplete"), (7, '{"airport": {"pluginData": 3}}', "broken"), (8, board, None), (9, "x" * 200000, "broken"),
+    ]
+    df = spark.createDataFrame([(i, t, i) for i, t, _ in cases], "id int, body string, airport_id int")
+    out = raw.records(df, "body", raw.BOARD_SCHEMA, ["airport.pluginData.schedule"])
+    assert {r["id"]: (r["body"], r["reason"]) for r in out.rejected.collect()} == {i: (t, why) for i, t, why in cases if why}
+    assert {r["id"] for r in out.valid.collect()} == {1, 8} and out.valid.columns == ["id", "airport_id", "airport"]
+    assert {r["reason"]: r["n"] for r in out.counts.collect()} == {"valid": 2, "broken": 4, "empty": 2, "incomplete": 1}
+    weather = spark.createDataFrame([(hours,), (hours[:30],)], "body string")
+    got = raw.records(weather, "body", raw.WEATHER_SCHEMA, ["hourly.time"])
+    assert [r["temperature_2m"] for r in raw.weather_rows(got.valid).collect()] == [1.5] and got.rejected.count() == 1
+    none = raw.records(df.limit(0), "body", raw.BOARD_SCHEMA)
+    assert none.valid.count() == none.rejected.count() == none.counts.count() == 0

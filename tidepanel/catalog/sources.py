@@ -319,3 +319,36 @@ def write_csv(spark, root):
     files.write_csv(residuals(spark, root).select(*columns), path)
     schema = "entity int, dt date, actual double, predicted double, actual_class string, predicted_class string"
     return files.read_csv(spark, path, schema)
+
+
+@query(
+    "rejected_records",
+    """WITH d AS (SELECT event_type, event_id % 7 AS k, event_id % 3 AS flights,
+         '{"timestamp_utc":"' || event_id || '","flight_count":' || event_id % 3 || '}' AS whole FROM events),
+       b AS (SELECT event_type, k, flights, CASE k WHEN 1 THEN left(whole, length(whole) - 5) WHEN 2 THEN '<html>' || whole WHEN 3 THEN '  '
+         WHEN 4 THEN NULL WHEN 5 THEN '{"flight_count":1}' WHEN 6 THEN '{"timestamp_utc":"x","flight_count":"many"}' ELSE whole END AS body FROM d)
+       SELECT event_type, CASE WHEN k IN (1, 2, 6) THEN 'broken' WHEN k IN (3, 4) THEN 'empty' WHEN k = 5 THEN 'incomplete' ELSE 'valid' END AS reason,
+         count(*) AS n, CAST(sum(CASE WHEN k = 0 THEN flights END) AS BIGINT) AS flights,
+         CAST(sum(CASE WHEN k > 0 THEN length(body) END) AS BIGINT) AS kept_characters
+       FROM b GROUP BY ALL""",
+)
+def rejected_records(spark, root):
+    """A document per event, six of seven spoilt in one way or another: what passed, and what was put aside with its text."""
+    key = F.col("event_id")
+    whole = F.concat(F.lit('{"timestamp_utc":"'), key, F.lit('","flight_count":'), key % 3, F.lit("}"))
+    body = (
+        F.when(key % 7 == 1, F.expr("left(whole, length(whole) - 5)"))
+        .when(key % 7 == 2, F.concat(F.lit("<html>"), "whole"))
+        .when(key % 7 == 3, F.lit("  "))
+        .when(key % 7 == 4, F.lit(None))
+        .when(key % 7 == 5, F.lit('{"flight_count":1}'))
+        .when(key % 7 == 6, F.lit('{"timestamp_utc":"x","flight_count":"many"}'))
+        .otherwise(F.col("whole"))
+    )
+    documents = bindings.events(spark, root).withColumn("whole", whole).select("event_type", body.alias("body"))
+    out = raw.records(documents, "body", raw.SNAPSHOT_SCHEMA, ["timestamp_utc"])
+    passed = out.valid.select("event_type", F.lit("valid").alias("reason"), "flight_count", F.lit(None).cast("string").alias("body"))
+    aside = out.rejected.select("event_type", "reason", F.lit(None).cast("bigint").alias("flight_count"), "body")
+    return passed.unionByName(aside).groupBy("event_type", "reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("flight_count").alias("flights"), F.sum(F.length("body")).cast("bigint").alias("kept_characters")
+    )

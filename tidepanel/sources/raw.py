@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.config import STATE_VECTOR_FIELDS
+from tidepanel.session import materialize
 
 _STOP = "struct<name:string, code:struct<iata:string, icao:string>>"
 _TIMES = "struct<arrival:bigint, departure:bigint>"
@@ -50,6 +52,42 @@ HOLIDAY_SCHEMA = (
 )
 
 
+class Records(NamedTuple):
+    """What became of raw documents; every one is in ``valid`` or in ``rejected``."""
+
+    valid: DataFrame  #: the other columns and the fields of the document
+    rejected: DataFrame  #: all columns with the text as it came, and the ``reason``
+    counts: DataFrame  #: ``reason`` (``valid`` for what passed), ``n``
+
+
+def records(df: DataFrame, body: str, schema: str, required: Sequence[str] = ()) -> Records:
+    """Documents of text column ``body`` by a schema, the bad ones apart with their text.
+
+    Reasons are ``empty`` (NULL or white space), ``broken`` (cut, not JSON, or a value of another kind than the schema's) and
+    ``incomplete`` (one of the ``required`` fields, named by their paths, is NULL). Documents are parsed once and stored, so both sides and the
+    counts see the same result. Other columns of ``df`` are kept; none may be called ``_record`` or ``reason``.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken_text"}
+    record = F.from_json(F.col(f"`{body}`"), f"{schema}, _broken_text string", options)
+    lacking = F.lit(False)
+    for field in required:
+        lacking = lacking | F.col(f"_record.{field}").isNull()
+    text = F.col(f"`{body}`")
+    reason = (
+        F.when(text.isNull() | text.rlike(r"^\s*$"), "empty")
+        .when(F.col("_record").isNull() | F.col("_record._broken_text").isNotNull(), "broken")
+        .when(lacking, "incomplete")
+    )
+    kept = materialize(df.withColumn("_record", record).withColumn("reason", reason), "records")
+    others = [c for c in df.columns if c != body]
+    fields = [f for f in kept.schema["_record"].dataType.names if f != "_broken_text"]
+    return Records(
+        kept.filter("reason IS NULL").select(*[f"`{c}`" for c in others], *[f"_record.`{f}`" for f in fields]),
+        kept.filter("reason IS NOT NULL").drop("_record"),
+        kept.groupBy(F.coalesce("reason", F.lit("valid")).alias("reason")).agg(F.count(F.lit(1)).alias("n")),
+    )
+
+
 def _text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
