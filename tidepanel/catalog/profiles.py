@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepanel.catalog.registry import LAGGED, ROLLED, WEATHER, query
-from tidepanel.catalog.series import r9, stored_table
+from tidepanel.catalog.registry import FEATURES, LAGGED, ROLLED, WEATHER, query
+from tidepanel.catalog.series import daily_table, r9, stored_table
 from tidepanel.catalog.target import daily_scored
 from tidepanel.operators import profiles, quality, stats, windows
 from tidepanel.plans.model_table import feature_columns
-from tidepanel.session import materialize
-from tidepanel.sources import bindings
+from tidepanel.session import new_path
+from tidepanel.sources import bindings, files
 
 
 @query(
@@ -316,19 +316,22 @@ def dq_reference(spark, root):
     )
 
 
+WEATHER_CHECKED = ", ".join(bindings.WEATHER_COLUMNS)
+
+
 @query(
     "dq_report",
-    """WITH w AS (SELECT CAST(ts AS TIMESTAMP) AS ts_hour, temperature_2m FROM wxh),
+    f"""WITH w AS (SELECT CAST(ts AS TIMESTAMP) AS ts_hour, {WEATHER_CHECKED} FROM wxh),
     r AS (
       SELECT 'movements' AS source, 'rows' AS "check", count(*) AS value FROM hp0
-      UNION ALL SELECT 'movements', 'duplicates', 0
+      UNION ALL SELECT 'movements', 'duplicates', (SELECT count(*) FROM hp0) - (SELECT count(*) FROM (SELECT DISTINCT * FROM hp0))
       UNION ALL SELECT 'movements', 'missing_columns', 1
-      UNION ALL SELECT 'movements', 'nulls', 0
+      UNION ALL SELECT 'movements', 'nulls', CAST(coalesce(sum({" + ".join(f"({c} IS NULL)::INT" for c in ("entity", "ts_hour", "arrivals", "departures"))}), 0) AS BIGINT) FROM hp0
       UNION ALL SELECT 'movements', 'missing_steps', (SELECT count(*) FROM hp) - (SELECT count(*) FROM hp0)
       UNION ALL SELECT 'weather', 'rows', count(*) FROM w
-      UNION ALL SELECT 'weather', 'duplicates', 0
+      UNION ALL SELECT 'weather', 'duplicates', (SELECT count(*) FROM w) - (SELECT count(*) FROM (SELECT DISTINCT * FROM w))
       UNION ALL SELECT 'weather', 'missing_columns', 0
-      UNION ALL SELECT 'weather', 'nulls', count(*) FILTER (temperature_2m IS NULL) FROM w
+      UNION ALL SELECT 'weather', 'nulls', CAST(coalesce(sum({" + ".join(f"({c} IS NULL)::INT" for c in ("ts_hour", *bindings.WEATHER_COLUMNS))}), 0) AS BIGINT) FROM w
       UNION ALL SELECT 'weather', 'missing_steps',
           (SELECT CAST((epoch(max(ts_hour)) - epoch(min(ts_hour))) / 3600 AS BIGINT) + 1 - count(*) FROM w))
     SELECT * FROM r
@@ -336,19 +339,45 @@ def dq_reference(spark, root):
     "hp hp0 wxh",
 )
 def dq_report(spark, root):
-    moves = bindings.hourly_counted(spark, root)
-    weather = materialize(
-        bindings.hourly_weather(spark, root).select(F.col("ts").alias("ts_hour"), "temperature_2m"), "weather"
-    )
+    """Counts and all weather columns, each source scanned once."""
     return quality.report(
         {
             "movements": {
-                "df": moves, "required": ["entity", "ts_hour", "arrivals", "departures", "total_movements"],
+                "df": bindings.hourly_raw(spark, root),
+                "required": ["entity", "ts_hour", "arrivals", "departures", "total_movements"],
                 "time": "ts_hour", "keys": ["entity"], "step": "hour",
             },
             "weather": {
-                "df": weather, "required": ["ts_hour", "temperature_2m"],
-                "time": "ts_hour", "keys": [], "step": "hour",
+                "df": bindings.hourly_weather(spark, root).withColumnRenamed("ts", "ts_hour"),
+                "required": ["ts_hour", *bindings.WEATHER_COLUMNS], "time": "ts_hour", "step": "hour",
             },
         }
     )
+
+
+CHECKED = ("entity", "dt", "split", "acps", *FEATURES)
+
+
+@query(
+    "checked_load",
+    """SELECT 'model_table' AS source, 'rows' AS "check", '' AS "column", count(*) AS value FROM dfull
+       UNION ALL SELECT 'model_table', 'first', 'dt', CAST(min(dt) - DATE '1970-01-01' AS BIGINT) FROM dfull
+       UNION ALL SELECT 'model_table', 'last', 'dt', CAST(max(dt) - DATE '1970-01-01' AS BIGINT) FROM dfull
+       UNION ALL SELECT 'model_table', 'score_in_range', '', count(*) FILTER ((acps BETWEEN 0 AND 100) IS NOT TRUE) FROM dfull
+       UNION ALL SELECT 'model_table', 'warm', '', count(*) FILTER ((acps_lag_365d >= 0) IS NOT TRUE) FROM dfull
+       UNION ALL SELECT 'model_table', 'missing_column', 'visibility', 1
+       """
+    + " ".join(f"""UNION ALL SELECT 'model_table', 'nulls', '{c}', count(*) FILTER ({c} IS NULL) FROM dfull""" for c in CHECKED),
+    "dfull",
+)
+def checked_load(spark, root):
+    """The model table written by split, and checked in the pass that writes it."""
+    path = new_path(spark, "checked")
+    return quality.checked_load(
+        daily_table(spark, root).select(*CHECKED),
+        lambda df: files.write_splits(df, path),
+        "model_table",
+        [*CHECKED, "visibility"],
+        time="dt",
+        rules={"score_in_range": F.col("acps").between(0, 100), "warm": F.col("acps_lag_365d") >= 0},
+    )
