@@ -28,7 +28,6 @@ def with_phase(panel: DataFrame, time: str) -> DataFrame:
 
 
 
-
 def score_table(
     panel: DataFrame,
     phase: Sequence[str],
@@ -121,6 +120,47 @@ def attach_score(
     return panel.join(table, by, "left")
 
 
+def score_model(table: DataFrame, phase: Sequence[str], keys: Sequence[str] = ("entity",), settings: Settings = DEFAULTS) -> DataFrame:
+    """What a stored ``score_table`` was learnt to be, one row per ``(keys, phase)``: enough to score any total later.
+
+    Rows of one key differ in their median only. A key without rows to learn from is left out.
+    """
+    by, weight = list(keys), F.col("n_fit")
+    n = F.nullif(F.sum(weight), F.lit(0))
+    means = table.groupBy(*by).agg(
+        n.alias("_n"), (F.sum(F.col("total_movements") * weight) / n).alias("_mt"), (F.sum(F.col("pressure_ratio") * weight) / n).alias("_mr")
+    )
+    off = table.join(means, by).withColumns({"_dt": F.col("total_movements") - F.col("_mt"), "_dr": F.col("pressure_ratio") - F.col("_mr")})
+
+    def deviation(d: str) -> Column:
+        return F.sqrt(F.sum(F.col(d) * F.col(d) * weight) / F.nullif(F.first("_n") - 1, F.lit(0)))
+
+    spread = off.groupBy(*by).agg(deviation("_dt").alias("_st"), deviation("_dr").alias("_sr"), F.first("p60").alias("p60"), F.first("p85").alias("p85"))
+    raw = off.join(spread, by).withColumn("_raw", _mixed(F.col("_dt"), F.col("_st"), F.col("_dr"), F.col("_sr"), settings))
+    ends = raw.where("n_fit > 0").groupBy(*by).agg(F.min("_raw").alias("_lo"), F.max("_raw").alias("_hi"))
+    medians = table.groupBy(*by, *phase).agg(F.first("phase_median").alias("_median"))
+    return medians.join(means.drop("_n").join(spread, by).join(ends, by), by)
+
+
+def _mixed(dt: Column, st: Column, dr: Column, sr: Column, settings: Settings) -> Column:
+    def z(d: Column, s: Column) -> Column:
+        return F.when(s > 0, d / s).otherwise(0.0)
+
+    return settings.movement_weight * z(dt, st) + settings.pressure_weight * z(dr, sr)
+
+
+def score_by(panel: DataFrame, model: DataFrame, phase: Sequence[str], keys: Sequence[str] = ("entity",), settings: Settings = DEFAULTS) -> DataFrame:
+    """``panel`` with ``acps`` from a stored ``score_model``. It doesn't depend on the other rows of ``panel``; totals beyond those
+    learnt from go beyond 0 and 100. NULL for a key or phase the model hasn't seen."""
+    learnt = ("_median", "_mt", "_mr", "_st", "_sr", "_lo", "_hi")
+    ratio = F.col("total_movements") / F.greatest(F.lit(1.0), F.col("_median"))
+    raw = _mixed(F.col("total_movements") - F.col("_mt"), F.col("_st"), ratio - F.col("_mr"), F.col("_sr"), settings)
+    lo, hi = F.col("_lo"), F.col("_hi")
+    score = F.when(F.col("_median").isNull(), None).when(hi == lo, 50.0).otherwise(F.try_divide(raw - lo, hi - lo) * 100.0)
+    joined = panel.join(model.select(*keys, *phase, *learnt), [*keys, *phase], "left")
+    return joined.withColumn("acps", F.round(score, settings.score_digits)).drop(*learnt)
+
+
 def thresholds(
     panel: DataFrame, phase: Sequence[str], keys: Sequence[str] = ("entity",), settings: Settings = DEFAULTS
 ) -> DataFrame:

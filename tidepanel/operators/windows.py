@@ -72,8 +72,8 @@ def with_windows(df: DataFrame, columns: dict[str, WindowColumn], back: int, ahe
     return blocked_window(df, KEYS, "pos", columns, back, ahead)
 
 
-def daily_window_features(df: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
-    """All daily lags, rolling columns and the yearly difference in one exchange."""
+def daily_window_columns(s: Settings = DEFAULTS) -> tuple[dict[str, WindowColumn], int]:
+    """All daily lags, rolling columns and the yearly difference, and how many rows back they read."""
     columns = {
         **lag_columns("acps", "acps", s.daily_lags, "d"),
         **lag_columns("total_movements", "movements", s.daily_lags, "d"),
@@ -84,7 +84,12 @@ def daily_window_features(df: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
         "movements_yoy_change": lambda w: F.col("total_movements")
         - F.lag("total_movements", s.year_lag).over(w),
     }
-    back = max(*s.daily_lags, *s.daily_mean_windows, *s.daily_std_windows, s.year_lag)
+    return columns, max(*s.daily_lags, *s.daily_mean_windows, *s.daily_std_windows, s.year_lag)
+
+
+def daily_window_features(df: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+    """All daily window columns in one exchange."""
+    columns, back = daily_window_columns(s)
     return with_windows(df, columns, back)
 
 
