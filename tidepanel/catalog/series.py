@@ -709,7 +709,7 @@ def movement_assumption(spark, root):
 KEPT = ("arrivals", "departures", "total_movements", "acps", *LAGGED, *D_MEANS, "movements_yoy_change")
 
 
-@query("incremental_table", f"SELECT entity, dt, {', '.join(KEPT)}, round(acps_rstd_28d, 6) AS acps_rstd_28d FROM dfeat", "dfeat")
+@query("incremental_table", f"SELECT entity, dt, {', '.join(KEPT)}, round(acps_rstd_28d, 9) AS acps_rstd_28d FROM dfeat", "dfeat")
 def incremental_table(spark, root):
     """The feature table after three landings: old days with some missing and some wrong, newer days, then the corrections."""
     counted = bindings.daily_counted(spark, root)
@@ -723,4 +723,4 @@ def incremental_table(spark, root):
     table.land(counted.where(old & (lot > 0)).withColumn("arrivals", wrong), 1)
     table.land(counted.where(~old), 2)
     table.land(counted.where(old & (lot < 2)), 3)
-    return table.features().select("entity", "dt", *KEPT, F.round("acps_rstd_28d", 6).alias("acps_rstd_28d"))
+    return table.features().select("entity", "dt", *KEPT, F.round("acps_rstd_28d", 9).alias("acps_rstd_28d"))
