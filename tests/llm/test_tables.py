@@ -64,6 +64,21 @@ def test_url_rules_in_general(spark):
         assert (r["rule"], r["verdict"]) == (max(fits)[3:] if fits else (None, "allow"))
 
 
+def test_many_shapes_of_rules(spark):
+    rng = random.Random(5)
+    rules = [(rng.choice(["allow", "block"]), ".".join(rng.choices("ab", k=rng.randint(1, 4))), "/" + "y" * rng.randint(0, 40)) for _ in range(200)]
+    rules += [("block", "É.a", ""), ("allow", "b", "/" + "y" * 5000)]
+    urls = ["http://" + ".".join(rng.choices("ab", k=rng.randint(1, 6))) + "/" + "y" * rng.randint(0, 60) for _ in range(200)]
+    urls += [None, "", "http://", "http://x.É.A/z", "http://a.b/" + "y" * 6000, "http://" + "a." * 300 + "b/yyyy", "http://b./y", "http://.b/y"]
+    pages = spark.createDataFrame(enumerate(urls), "page_id long, url string")
+    listed = url_filter.rule_table(spark, rules)
+    by_shapes, by_hosts = url_filter.judge(pages, listed), url_filter.judge(pages, listed, max_shapes=3)
+    assert {tuple(r) for r in by_hosts.collect()} == {tuple(r) for r in by_shapes.collect()} and by_hosts.count() == len(urls)
+    for r in by_hosts.collect():
+        fits = [(len(h + p), len(h), v == "block", h + p, v) for v, h, p in rules if ("." + r["host"]).endswith("." + h) and r["path"].startswith(p)]
+        assert (r["rule"], r["verdict"]) == (max(fits)[3:] if fits else (None, "allow"))
+
+
 def test_shards(spark, docs, tmp_path):
     out = slot_shards.shard_records(docs, 3, str(tmp_path / "map"), slots=64)
     rows = out.collect()

@@ -51,6 +51,35 @@ def test_pivot_bounds_stop_early_and_hold():
     assert seen < len(rows) / 2
 
 
+def test_pivot_search_over_many_blocks(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.integers(-900, 900, (8, 16))
+    x = np.concatenate([c + rng.integers(-20, 20, (150, 16)) for c in centres])
+    x[37] = x[31]  # ties across blocks
+    rows = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, v array<double>")
+    got = pivot_topk.top_k(rows, rows.where("vec_id % 20 = 0"), counts=True, rows_per_block=40).collect()
+    evaluated = {r["query_id"]: r["evaluated"] for r in got}
+    for q in range(0, len(x), 20):
+        want = sorted((-int(s), i) for i, s in enumerate(x @ x[q]) if i != q)[:10]
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        assert [(-s, i) for _, i, s in own] == want and [r for r, _, _ in own] == list(range(1, 11))
+    assert len(evaluated) == 60 and np.mean(list(evaluated.values())) < len(x) / 3
+
+
+def test_block_bounds_hold():
+    rng = np.random.default_rng(10)
+    for scale in (1, 300):
+        x = rng.integers(-1000, 1000, (20, 1, 6)) + rng.integers(-scale, scale + 1, (20, 30, 6))
+        flat = x.reshape(-1, 6).astype(float)
+        pivots = pivot_topk.choose_pivots(flat, 5)
+        far = lambda v: np.sqrt(((v[:, None] - pivots[None]) ** 2).sum(2))
+        d = far(flat).reshape(20, 30, -1)
+        for q in flat[::50]:
+            assert (pivot_topk.block_bounds(q, far(q[None])[0], d.min(1), d.max(1)) >= (x @ q).max(1)).all()
+    same = np.ones((5, 3))
+    assert len(pivot_topk.choose_pivots(same, 4)) == 2 and len(pivot_topk.choose_pivots(same * 0, 4)) == 1
+
+
 def test_large_components():
     big = np.array([[2.0**40, 1.0], [2.0**20, 3.0]])
     assert pivot_topk.products(big, np.array([2.0**20, 1.0])).tolist() == [2**60 + 1, 2**40 + 3]
