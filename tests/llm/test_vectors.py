@@ -66,6 +66,15 @@ def test_pivot_search_over_many_blocks(spark):
     assert len(evaluated) == 60 and np.mean(list(evaluated.values())) < len(x) / 3
 
 
+def test_blocks_hold_about_as_many_rows_as_asked(spark):
+    sizes = [3, 0, 250, 40, 50, 20, 1]
+    rows = spark.createDataFrame([(100 * c + i, c) for c, n in enumerate(sizes) for i in range(n)], "vec_id long, cell int")
+    for shared, blocks in ((False, 8), (True, 6)):
+        got = pivot_topk.in_blocks(rows, "block", 100, shared).groupBy("block").count().collect()
+        assert sum(r["count"] for r in got) == sum(sizes) and max(r["count"] for r in got) < 150 and len(got) == blocks
+    assert pivot_topk.in_blocks(rows.limit(0), "block", 100).count() == 0
+
+
 def test_block_bounds_hold():
     rng = np.random.default_rng(10)
     for scale in (1, 300):

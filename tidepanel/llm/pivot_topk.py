@@ -87,16 +87,27 @@ def with_floors(queries: DataFrame, ids: np.ndarray, sample: np.ndarray, k: int)
     return with_arrow_columns(asked, "asked", [StructField("floor", LongType())], make).drop("asked")
 
 
-def in_blocks(rows: DataFrame, name: str, size: int) -> DataFrame:
-    """``rows`` with the number of their block: rows of one cell, a large cell dealt over several blocks of about ``size``."""
+def in_blocks(rows: DataFrame, name: str, size: int, shared: bool = False) -> DataFrame:
+    """``rows`` with the number of their block: rows of one cell, a large cell dealt over several blocks of about ``size``.
+
+    With ``shared`` small cells lie together, so that there are few more blocks than the rows need.
+    """
     counts = {r["cell"]: r["count"] for r in rows.groupBy("cell").count().collect()}  # one row for each pivot
-    parts = [-(-counts.get(c, 0) // size) for c in range(max(counts, default=-1) + 1)]
-    first = np.cumsum([0, *parts]).tolist()
+    first, parts, blocks, free = [], [], 0, 0
+    for cell in range(max(counts, default=0) + 1):
+        n = counts.get(cell, 0)
+        if shared and n <= free:
+            first.append(blocks - 1)
+            parts.append(1)
+            free -= n
+        else:
+            first.append(blocks)
+            parts.append(max(1, -(-n // size)))
+            blocks += parts[-1]
+            free = size - n
     at = F.col("cell") + 1
-    number = F.element_at(F.array(*map(F.lit, first)), at) + F.pmod(
-        F.xxhash64("vec_id", F.lit(name)), F.greatest(F.element_at(F.array(*map(F.lit, [*parts, 0])), at), F.lit(1))
-    )
-    return rows.withColumn(name, number.cast("long"))
+    spread = F.pmod(F.xxhash64("vec_id", F.lit(name)), F.element_at(F.array(*map(F.lit, parts)), at))
+    return rows.withColumn(name, (F.element_at(F.array(*map(F.lit, first)), at) + spread).cast("long"))
 
 
 def summaries(rows: DataFrame, n: int) -> DataFrame:
@@ -171,7 +182,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, n_pivots: int = P
     pivots = choose_pivots(sample, n_pivots)
     rows = in_blocks(materialize(with_pivot_distances(vectors, pivots), "pivot-table"), "block", rows_per_block)
     asked = with_pivot_distances(queries.groupBy("vec_id").agg(F.min("v").alias("v")), pivots)
-    asked = in_blocks(materialize(with_floors(asked, ids, sample, k), "pivot-queries"), "query_block", QUERIES)
+    asked = in_blocks(materialize(with_floors(asked, ids, sample, k), "pivot-queries"), "query_block", QUERIES, shared=True)
 
     def reach(blocks: pa.Table, wanted: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
