@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidepanel.catalog import QUERIES
+from tidepanel.catalog import QUERIES, scoring
 from tidepanel.catalog.series import stored_table
 from tidepanel.config import CLASS_LABELS, CLUSTERED, LIGHT, WEATHER_PRESETS
 from tidepanel.operators import models
@@ -112,6 +112,14 @@ def test_scenarios_get_score_and_both_classes(spark, few_rounds):
     assert len(WEATHER_PRESETS) == 4
 
 
+def test_scenarios_are_dealt_evenly_before_they_are_scored(spark, few_rounds, monkeypatch):
+    monkeypatch.setattr(scoring, "SCORED_ROWS", 40, raising=False)
+    asked = spark.read.parquet(f"{ROOT}/customer.parquet").count()
+    plan = QUERIES["scenario_score"](spark, ROOT)._jdf.queryExecution().optimizedPlan().toString()
+    at = plan.index(f"Repartition {-(-2 * asked // 40)}, true")
+    assert "UDF(" in plan[:at] and "UDF(" not in plan[at:]  # models read what was dealt
+
+
 def test_next_days(spark, table, few_rounds):
     out = QUERIES["forecast_3d"](spark, ROOT).toPandas().sort_values(["entity", "dt"])
     days = table.groupBy("entity").agg(F.max("dt").alias("last")).toPandas().set_index("entity")["last"]

@@ -124,6 +124,16 @@ def _fitted(spark, root):
     return table, store, history
 
 
+#: scenarios that one task scores
+SCORED_ROWS = 8192
+
+
+def _dealt(rows, count):
+    """``count`` rows dealt evenly over tasks. A scenario is a few bytes and takes hundreds of trees, so tasks that follow the
+    bytes of a file or an exchange would be few and long."""
+    return rows.repartition(max(1, -(-count // SCORED_ROWS)))
+
+
 def _predict(store, rows):
     """Score and class of each row. Model columns only as doubles; keys and dates stay as they are."""
     scored = store.models["score"].transform(models.as_doubles(rows, store.features))
@@ -141,7 +151,8 @@ def scenario_score(spark, root):
         F.explode(F.array(F.lit(1), F.lit(3))).alias("horizon"),
     ).withColumn("dt", F.date_add("asked_dt", F.col("horizon") - 1))
     rows = scoring.scenario_features(ahead, history, bindings.holidays(spark, root))
-    scored = _predict(store, rows).join(
+    needed = dict.fromkeys(["scenario_id", "entity", "horizon", "dt", *store.features])
+    scored = _predict(store, _dealt(rows.select(*needed), ahead.count())).join(
         scoring.last_actual(history).select("entity", "last_acps"), "entity"
     )
     return scored.select(
