@@ -112,3 +112,13 @@ def test_long_chains(spark):
     got = {r["id"]: r["component"] for r in components(links).collect()}
     assert got == {i: 0 for i in range(n + 1)} | {500: 500, 501: 500}
     assert components(links.limit(0)).count() == 0
+
+
+def test_a_worker_keeps_few_words_and_little_at_once():
+    shingler, widest = minmax.Shingler(2), 5_000
+    sets = [shingler(" ".join(f"w{i}" for i in range(at, at + widest))) for at in range(0, 300_000, widest)]
+    assert sum(map(len, sets)) == 300_000 - len(sets) and len(shingler.known) <= 110_000
+    low, high = minmax.signature(np.concatenate(sets))
+    parts = [minmax.signature(s) for s in sets]
+    assert (low == np.min([x for x, _ in parts], 0)).all() and (high == np.max([x for _, x in parts], 0)).all()
+    assert minmax.PERMUTATIONS * minmax.BLOCK * 8 <= 1 << 21  # bytes of one table of permuted values

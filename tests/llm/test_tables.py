@@ -195,3 +195,12 @@ def test_long_texts_through_the_operator(spark):
     assert {r["doc_id"]: bytes(r["decoded"]) for r in out.collect()} == {i: t.encode() for i, t in enumerate(texts)}
     codec = byte_bpe.encoding(RANKS, PATTERN)
     assert out.where("doc_id = 1").first()["ids"] == codec.encode_ordinary(texts[1])
+
+
+def test_a_worker_that_packs_keeps_few_words():
+    coder = packing.WordTokens(WORDS)
+    for at in range(0, 300_000, 5_000):
+        coder.encode(" ".join(f"w{i}" for i in range(at, at + 5_000)))
+    assert len(coder.chunks) <= 210_000
+    again, _ = coder.encode("w1 w299999 w1")
+    assert again.tolist() == coder.tokenizer.encode("w1 w299999 w1", add_special_tokens=False).ids

@@ -41,10 +41,10 @@ CELLS, BLOCK_ROWS = 512, 256
 BITS = 1 << 24
 
 #: shingles hashed at once
-BLOCK = 1 << 14
+BLOCK = 1 << 12
 
-#: words a worker keeps the hash of
-CACHE = 500_000
+#: words a worker keeps the hash of, about 200 bytes each
+CACHE = 100_000
 
 _random = np.random.default_rng(20240229)
 MULTIPLY = _random.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

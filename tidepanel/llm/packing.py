@@ -36,8 +36,8 @@ LONG_SENTENCE = 64
 #: tokens that a task gathers before it chooses cuts; all but the last windows are then final
 STRETCH = 1 << 18
 
-#: words that a worker keeps, about 150 bytes each; beyond that it starts anew
-CACHE = 1_000_000
+#: words that a worker keeps, about 250 bytes each; beyond that it starts anew
+CACHE = 200_000
 
 #: Texts of these characters only are normalised and split here, all others by the library. For them
 #: the vocabulary's normaliser is lower-casing and its splitter is WORDS (fixed values of the file).
