@@ -1,11 +1,13 @@
 import datetime as dt
 import json
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tidepanel.catalog import QUERIES
 from tidepanel.sources import files, raw
 from tidepanel.streaming import live
 
@@ -138,3 +140,17 @@ def test_bad_records_are_put_aside_with_their_text(spark):
     assert [r["temperature_2m"] for r in raw.weather_rows(got.valid).collect()] == [1.5] and got.rejected.count() == 1
     none = raw.records(df.limit(0), "body", raw.BOARD_SCHEMA)
     assert none.valid.count() == none.rejected.count() == none.counts.count() == 0
+
+
+def test_hours_of_odd_line_items(spark, tmp_path):
+    """Each document has its hours, over midnight and with missing values; only what differs by the hour is made by the hour."""
+    kind = "l_linenumber int, l_quantity double, l_discount double, l_tax double, l_shipdate timestamp_ntz"
+    late, day = datetime(1999, 12, 31, 22, 30), datetime(2000, 2, 28)
+    given = [(3, 2.5, 0.5, 0.25, late), (2, None, 0.5, 0.25, day), (None, 1.0, 0.5, 0.25, day), (0, 1.0, 0.5, None, day)]
+    spark.createDataFrame(given, kind).write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = QUERIES["weather_unpack"](spark, str(tmp_path))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("transform(") == 2
+    want = [(late + timedelta(hours=i), 150.0 + i, None, 2.5, 5) for i in range(3)]
+    want += [(day + timedelta(hours=i), 150.0 + i, 25.0, None, None) for i in range(2)]
+    want += [(day - timedelta(hours=i), 150.0 - i, None, 1.0, 2) for i in range(2)]  # a sequence to -1 runs backwards
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)

@@ -158,18 +158,19 @@ def json_field_extract(spark, root):
 )
 def weather_unpack(spark, root):
     """A column-array document per line item with ``l_linenumber`` hours."""
-    hours = F.sequence(F.lit(0), F.col("l_linenumber") - 1)
+    number = F.col("l_linenumber") - 1
+    hours, n = F.sequence(F.lit(0), number), F.abs(number) + 1
+    start = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
     hourly = F.struct(
         F.transform(
             hours,
-            lambda i: F.date_format(
-                F.col("l_shipdate").cast("timestamp") + F.make_interval(hours=i), "yyyy-MM-dd'T'HH:mm"
-            ),
+            lambda i: F.date_format(F.timestamp_micros(start + i.cast("long") * 3_600_000_000), "yyyy-MM-dd'T'HH:mm"),
         ).alias("time"),
         F.transform(hours, lambda i: F.col("l_discount") * 300 + i).alias("temperature_2m"),
-        F.when(F.col("l_linenumber") != 3, F.transform(hours, lambda i: F.col("l_tax") * 100)).alias("rain"),
-        F.transform(hours, lambda i: F.col("l_quantity")).alias("wind_speed_10m"),
-        F.transform(hours, lambda i: (F.col("l_quantity") * 2).cast("int")).alias("weather_code"),
+        # what is the same in all hours is repeated, not computed for each
+        F.when(F.col("l_linenumber") != 3, F.array_repeat(F.col("l_tax") * 100, n)).alias("rain"),
+        F.array_repeat("l_quantity", n).alias("wind_speed_10m"),
+        F.array_repeat((F.col("l_quantity") * 2).cast("int"), n).alias("weather_code"),
     )
     packed = bindings.table(spark, root, "lineitem").select(
         F.to_json(F.struct(hourly.alias("hourly"))).alias("body")
