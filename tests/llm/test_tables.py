@@ -3,8 +3,10 @@
 import itertools
 import random
 import zlib
+from types import SimpleNamespace
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -204,3 +206,29 @@ def test_a_worker_that_packs_keeps_few_words():
     assert len(coder.chunks) <= 210_000
     again, _ = coder.encode("w1 w299999 w1")
     assert again.tolist() == coder.tokenizer.encode("w1 w299999 w1", add_special_tokens=False).ids
+
+
+def test_the_library_is_asked_once_for_frequent_words(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 2000)
+    monkeypatch.setattr(packing, "KEPT", 1000, raising=False)
+    coder, asked = packing.WordTokens(WORDS), []
+    model, letters = coder.model, str.maketrans("0123456789", "abcdéfghij")
+    coder.model = SimpleNamespace(tokenize=lambda word: asked.append(word) or model.tokenize(word))
+    for at in range(60):
+        text = "The cat, the Dog. it's the ÉTÉ! " + " ".join(str(i).translate(letters) for i in range(at * 100, at * 100 + 100))
+        ids, ends = coder.encode(text)
+        assert ids.tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert ends.tolist() == [len(coder.tokenizer.encode(text[:n], add_special_tokens=False).ids) for n in (17, 31)]
+    assert len(asked) < 6100 and {asked.count(w) for w in ("the", "cat", ",", ".", "'s")} == {1} and len(coder.chunks) <= 2200
+
+
+def test_groups_of_texts_have_the_ids_of_each_text():
+    texts = ["A b. C!d? e", "", " \n\t", "×÷ é's Ünï. 12.5 <|endoftext|>", "привет мир. a", "日本。 x", "don't. stop", "A b. C!d? e"]
+    coder = packing.WordTokens(WORDS)
+    for (ids, ends), text in zip(coder.encode_all(texts), texts, strict=True):
+        assert ids.tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert ends.tolist() == packing.WordTokens(WORDS).encode(text)[1].tolist()
+    column = pa.array(["skipped", *texts, None, "x" * packing.GROUP, "last", None]).slice(1)
+    parts = list(packing.groups(column))
+    assert [i for at, n in parts for i in range(at, at + n)] == list(range(len(column))) and len(parts) > 1
+    assert list(packing.groups(column.slice(0, 0))) == []
